@@ -120,7 +120,9 @@ def drop_blank(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows where every named column is present and not the empty string."""
     keep = F.lit(True)
     for c in cols:
-        keep = keep & F.col(c).isNotNull() & (F.col(c) != "")
+        keep = keep & F.col(c).isNotNull()
+        if df.schema[c].dataType.simpleString() == "string":
+            keep = keep & (F.col(c) != "")
     return df.filter(keep)
 
 

@@ -130,8 +130,8 @@ def prefix_join(
     """
     wanted = ids.select(scope, prefix).filter(F.length(prefix) > 0).distinct()
     lengths = wanted.agg(F.collect_set(F.length(prefix))).scalar()
-    fits = F.filter(lengths, lambda n: n <= F.length(name))
-    expanded = names.withColumn("_len", F.explode(fits)).withColumn(
+    fits = F.array_intersect(F.sequence(F.lit(1), F.length(name)), lengths)
+    expanded = names.filter(F.length(name) > 0).withColumn("_len", F.explode(fits)).withColumn(
         prefix, F.substring(F.col(name), F.lit(1), F.col("_len"))
     )
     return expanded.drop("_len").join(wanted, [scope, prefix])

@@ -125,6 +125,32 @@ def vocabulary(values: DataFrame, col: str, code: str = "code") -> DataFrame:
     return global_index(distinct, [col], code)
 
 
+def vocabularies(values: DataFrame, fields: dict[str, Column]) -> DataFrame:
+    """Vocabularies of several fields in one pass: rows (field, value, code).
+
+    ``fields`` maps a name to a column or an array of tags.  Values are text; numbers
+    keep their numeric order.
+    """
+    types = {f.name: f.dataType for f in values.select(*[c.alias(n) for n, c in fields.items()]).schema.fields}
+
+    def entries(name: str, c: Column) -> Column:
+        kind = types[name].typeName()
+        parts = c if kind == "array" else F.array(c)
+        number = (lambda x: x.cast("double")) if kind not in ("string", "array") else (lambda x: F.lit(None).cast("double"))
+        return F.transform(
+            F.coalesce(parts, F.array().cast(f"array<{'string' if kind == 'array' else types[name].simpleString()}>")),
+            lambda x: F.struct(
+                F.lit(name).alias("field"), number(x).alias("number"), x.cast("string").alias("value")
+            ),
+        )
+
+    listed = F.flatten(F.array(*[entries(n, c) for n, c in fields.items()]))
+    distinct = values.select(F.explode(listed).alias("s")).select("s.*").filter("value is not null").distinct()
+    indexed = materialize(global_index(distinct, ["field", "number", "value"], "_idx"))
+    first = F.broadcast(indexed.groupBy("field").agg(F.min("_idx").alias("_first")))
+    return indexed.join(first, "field").select("field", "value", (F.col("_idx") - F.col("_first")).alias("code"))
+
+
 def label_encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace each column by the rank of its value among the distinct values."""
     out = df

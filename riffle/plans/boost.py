@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +26,13 @@ def fit_gbt(
     feature_share: float = 0.9,
     bins: int = 256,
     seed: int = 1,
+    missing: float = -1.0,
 ) -> PipelineModel:
     """Boosted trees for a 0/1 label.
 
     A categorical column needs fewer values than ``bins``; ids belong in as counts or
-    affinities, and an error names the column that does not fit.
+    affinities, and an error names the column that does not fit.  Missing numbers become
+    ``missing``, missing categories a value of their own.
     """
     if categorical:
         sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first().asDict()
@@ -44,14 +46,16 @@ def fit_gbt(
         StringIndexer(inputCol=c, outputCol=f"_ix_{c}", handleInvalid="keep", stringOrderType="alphabetAsc")
         for c in categorical
     ]
+    filled = ", ".join(f"coalesce(cast({c} as double), {missing}) as _n_{c}" for c in numeric)
+    fill = SQLTransformer(statement=f"select *, {filled} from __THIS__")
     gather = VectorAssembler(
-        inputCols=[*numeric, *[f"_ix_{c}" for c in categorical]], outputCol="_features", handleInvalid="keep"
+        inputCols=[*[f"_n_{c}" for c in numeric], *[f"_ix_{c}" for c in categorical]], outputCol="_features"
     )
     trees = GBTClassifier(
         labelCol=label, featuresCol="_features", maxIter=rounds, stepSize=rate, maxDepth=depth,
         subsamplingRate=row_share, featureSubsetStrategy=str(feature_share), maxBins=bins, seed=seed,
     )
-    return Pipeline(stages=[*index, gather, trees]).fit(df)
+    return Pipeline(stages=[*index, fill, gather, trees]).fit(df)
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:

@@ -73,7 +73,7 @@ def image_manifest(files: DataFrame, word: str = "grade") -> DataFrame:
     return files.select("path", C.char_after(F.col("path"), word).try_cast("int").alias("label"))
 
 
-def exam_items(pages: DataFrame) -> DataFrame:
+def exam_items(pages: DataFrame, answer_mark: str = X.ANSWER_MARK) -> DataFrame:
     """Ten text columns per exam item, from stored pages.
 
     ``pages``: sub_type, sub_con, marker, stem, images (list), options (list), answer.
@@ -88,5 +88,5 @@ def exam_items(pages: DataFrame) -> DataFrame:
         kind.alias("queType"),
         X.stem_with_images(F.col("stem"), F.col("images")).alias("queCon"),
         *X.option_columns(options, OPTIONS),
-        X.tail_from(F.col("answer"), X.ANSWER_MARK).alias("quePar"),
+        X.tail_from(F.col("answer"), answer_mark).alias("quePar"),
     )

@@ -16,7 +16,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riffle.functions.vectors import dot
+
 Rule = Callable[[np.ndarray, dict], np.ndarray]
+# Above this many features a sum per feature makes the generated code too long, and the
+# gradient is added up batch by batch in the tasks instead.
+WIDE = 24
 
 
 def sgd(lr: float = 0.01) -> Rule:
@@ -82,6 +87,10 @@ class LinearModel:
     history: list[float] = field(default_factory=list)
 
     def net(self) -> Column:
+        if len(self.features) > WIDE:
+            x = F.array(*[F.col(c).cast("double") for c in self.features])
+            w = F.array(*[F.lit(float(v)) for v in self.weights[1:]])
+            return F.lit(float(self.weights[0])) + dot(x, w)
         out = F.lit(float(self.weights[0]))
         for c, w in zip(self.features, self.weights[1:], strict=True):
             out = out + F.col(c) * float(w)
@@ -97,6 +106,8 @@ def gradient(df: DataFrame, model: LinearModel, label: str, kind: str = "adaline
     For the perceptron the error is label minus predicted class, and the value counts
     the misclassified rows.
     """
+    if len(model.features) > WIDE:
+        return _wide_gradient(df, model, label, kind)
     output = model.net() if kind == "adaline" else model.predict()
     e = F.col("_e")
     metric = F.sum(e * e) / 2 if kind == "adaline" else F.sum(F.when(e != 0, 1.0).otherwise(0.0))
@@ -108,6 +119,27 @@ def gradient(df: DataFrame, model: LinearModel, label: str, kind: str = "adaline
     return -np.array(sums, dtype=float), float(row["_metric"] or 0.0)
 
 
+def _wide_gradient(df: DataFrame, model: LinearModel, label: str, kind: str) -> tuple[np.ndarray, float]:
+    """Same as ``gradient``; every task adds up its batches and gives one short row set."""
+    features, weights = list(model.features), model.weights
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = np.zeros(len(features) + 2)
+        for b in batches:
+            x = b[features].to_numpy(dtype=float)
+            net = x @ weights[1:] + weights[0]
+            y = b[label].to_numpy(dtype=float)
+            e = y - net if kind == "adaline" else y - np.where(net >= 0, 1.0, -1.0)
+            acc[0] += e.sum()
+            acc[1:-1] += x.T @ e
+            acc[-1] += e @ e / 2 if kind == "adaline" else (e != 0).sum()
+        yield pd.DataFrame({"i": np.arange(len(acc)), "v": acc})
+
+    parts = df.select(*features, label).mapInPandas(partial, "i long, v double")
+    sums = np.array([r["v"] for r in parts.groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").collect()])
+    return -sums[:-1], float(sums[-1])
+
+
 def _pass_over(
     features: Sequence[str], label: str, weights: np.ndarray, classes: Sequence, kind: str, eta: float, seed: int
 ):

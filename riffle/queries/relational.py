@@ -189,10 +189,10 @@ def best_per_id(spark, sf):
 
 @query(f"""with {PAIR_COUNTS},
 a as (select u, count(*) as n, avg(rating) as m from kept group by u)
-select u as "user", round(((n - (select min(n) from a) + 1.0) / ((select max(n) from a) - (select min(n) from a) + 1)) / m, 6) as su from a""")
+select u as "user", round(((n - (select min(n) from a) + 1.0) / ((select max(n) from a) - (select min(n) from a) + 1)) / m, 8) as su from a""")
 def user_skill(spark, sf):
     counts = A.interaction_counts(log_rows(spark, sf), "user", "item")
-    return A.user_skill(counts, "user", "num").withColumn("su", F.round("su", 6))
+    return A.user_skill(counts, "user", "num").withColumn("su", F.round("su", 8))
 
 
 @query(f"""with {PAIR_COUNTS},
@@ -347,5 +347,5 @@ def split_union(spark, sf):
 @query(r"""select doc_id, line from (select doc_id, trim(unnest(string_split(text, chr(10)))) as line from documents)
 where line <> '' and not regexp_full_match(line, '\p{L}+') and not regexp_full_match(line, '\p{Nd}+')""")
 def caption_text(spark, sf):
-    lines = table(spark, sf, "documents").select("doc_id", F.trim(F.explode(F.split("text", "\n"))).alias("line"))
-    return lines.filter(X.keep_caption_text(F.col("line")))
+    lines = table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    return lines.withColumn("line", F.trim("line")).filter(X.keep_caption_text(F.col("line")))
