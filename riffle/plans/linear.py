@@ -173,15 +173,15 @@ def _mixed_epoch(df, features, label, weights, classes, kind, eta, seed) -> tupl
     parts = df.select(*features, label).mapInPandas(
         _pass_over(features, label, weights, classes, kind, eta, seed), "w array<double>, n long, cost double"
     )
-    size = weights.size
-    row = parts.agg(
-        *[F.sum(F.col("w")[j] * F.col("n")).alias(f"_{j}") for j in range(size)],
-        F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-    ).first()
-    if not row["n"]:
+    cells = parts.select("n", "cost", F.posexplode("w").alias("i", "v"))
+    sums = cells.groupBy("i").agg(
+        F.sum(F.col("v") * F.col("n")).alias("v"), F.sum("n").alias("n"), F.sum("cost").alias("cost")
+    )
+    found = sums.orderBy("i").collect()
+    if not found:
         return weights, 0, 0.0
-    mean = np.array([row[f"_{j}"] for j in range(size)]) / row["n"]
-    return mean.reshape(weights.shape), row["n"], row["cost"]
+    rows = found[0]["n"]
+    return np.array([r["v"] / rows for r in found]).reshape(weights.shape), rows, found[0]["cost"]
 
 
 def fit_linear(

@@ -32,7 +32,7 @@ def affinity_facts(spark, sf):
 def _right(c: str, sep: str | None) -> str:
     if sep is None:
         return f"[cast({c} as varchar)]"
-    return f"string_split({c}, '|')" if sep == AF.GENRE_SEP else f"regexp_split_to_array({c}, '[/\\\;|&]')"
+    return f"string_split({c}, '|')" if sep == AF.GENRE_SEP else f"regexp_split_to_array({c}, '[/\\\\;|&]')"
 
 
 def _stack(source: str, keep: str) -> str:
@@ -220,10 +220,10 @@ def linear_rules(spark, sf):
         rows.append((name, len(model.history), float(model.history[-1]), hit))
 
     for name, rule in RULES.items():
-        add(name, L.fit_linear(data, names, "y", rule=rule, epochs=5), "y")
-    add("adaline_mixing", L.fit_linear(data, names, "y", mode="mixing", epochs=5), "y")
-    add("perceptron_mixing", L.fit_linear(data, names, "y", kind="perceptron", mode="mixing", epochs=5), "y")
-    add("one_vs_rest", L.fit_one_vs_rest(data, names, "label", epochs=5), "label")
+        add(name, L.fit_linear(data, names, "y", rule=rule, epochs=3), "y")
+    add("adaline_mixing", L.fit_linear(data, names, "y", mode="mixing", epochs=3), "y")
+    add("perceptron_mixing", L.fit_linear(data, names, "y", kind="perceptron", mode="mixing", epochs=3), "y")
+    add("one_vs_rest", L.fit_one_vs_rest(data, names, "label", epochs=3), "label")
     data.unpersist()
     return spark.createDataFrame(rows, "rule string, epochs int, metric double, accuracy double")
 
