@@ -7,7 +7,8 @@ row per range (the range total) is added up in a single task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,27 +126,37 @@ def vocabulary(values: DataFrame, col: str, code: str = "code") -> DataFrame:
     return global_index(distinct, [col], code)
 
 
-def vocabularies(values: DataFrame, fields: dict[str, Column]) -> DataFrame:
-    """Vocabularies of several fields in one pass: rows (field, value, code).
-
-    ``fields`` maps a name to a column or an array of tags.  Values are text; numbers
-    keep their numeric order.
-    """
+def _field_values(values: DataFrame, fields: dict[str, Column]) -> DataFrame:
+    """Distinct (field, number, value) of several columns or tag arrays, read in one pass."""
     types = {f.name: f.dataType for f in values.select(*[c.alias(n) for n, c in fields.items()]).schema.fields}
 
-    def entries(name: str, c: Column) -> Column:
-        kind = types[name].typeName()
-        parts = c if kind == "array" else F.array(c)
-        number = (lambda x: x.cast("double")) if kind not in ("string", "array") else (lambda x: F.lit(None).cast("double"))
-        return F.transform(
-            F.coalesce(parts, F.array().cast(f"array<{'string' if kind == 'array' else types[name].simpleString()}>")),
-            lambda x: F.struct(
-                F.lit(name).alias("field"), number(x).alias("number"), x.cast("string").alias("value")
-            ),
-        )
+    def entry(name: str, value: Column, numeric: bool) -> Column:
+        number = value.cast("double") if numeric else F.lit(None).cast("double")
+        return F.struct(F.lit(name).alias("field"), number.alias("number"), value.cast("string").alias("value"))
+
+    single, lists = [], []
+    for name, c in fields.items():
+        if types[name].typeName() == "array":
+            entries = F.transform(c, _entry_of(entry, name))
+            lists.append(F.coalesce(entries, F.array().cast("array<struct<field:string,number:double,value:string>>")))
+        else:
+            single.append(entry(name, c, types[name].typeName() != "string"))
+    listed = F.concat(F.array(*single), *lists) if single else F.concat(*lists)
+    return values.select(F.explode(listed).alias("s")).select("s.*").filter("value is not null").distinct()
+
 
-    listed = F.flatten(F.array(*[entries(n, c) for n, c in fields.items()]))
-    distinct = values.select(F.explode(listed).alias("s")).select("s.*").filter("value is not null").distinct()
+def _entry_of(entry: Callable[[str, Column, bool], Column], name: str) -> Callable[[Column], Column]:
+    return lambda x: entry(name, x, False)
+
+
+def vocabularies(sources: Sequence[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
+    """Vocabularies of many fields with one sort: rows (field, value, code).
+
+    Every source names its fields as columns or arrays of tags; a field may come from
+    several sources.  Values are text; numbers keep their numeric order.
+    """
+    parts = [_field_values(df, fields) for df, fields in sources]
+    distinct = parts[0] if len(parts) == 1 else reduce(DataFrame.unionAll, parts).distinct()
     indexed = materialize(global_index(distinct, ["field", "number", "value"], "_idx"))
     first = F.broadcast(indexed.groupBy("field").agg(F.min("_idx").alias("_first")))
     return indexed.join(first, "field").select("field", "value", (F.col("_idx") - F.col("_first")).alias("code"))

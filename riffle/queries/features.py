@@ -148,8 +148,13 @@ f as (select {', '.join('enc.' + c for c in S.ID)}, target,
  left join r_lyricist ly on regexp_split_to_array(lyricist, {SPLIT})[1] = ly.v)
 select {', '.join(S.ID)}, concat_ws(' ', target, len(g), len(m), len(i), array_to_string(g, ' '), array_to_string(m, ' '), array_to_string(i, ' ')) as value from f""")
 def sparse_features(spark, sf):
-    wide = S.wide_rows(spark, sf).withColumn("gender_code", C.map_codes(F.col("gender"), {"BUILDING": 1, "FURNITURE": 2}, 0))
-    return sparse_rows(wide, wide, keep=S.ID)
+    facts = S.fact_rows(spark, sf)
+    wide = S.wide_rows(spark, sf, facts).withColumn("gender_code", C.map_codes(F.col("gender"), {"BUILDING": 1, "FURNITURE": 2}, 0))
+    context = facts.select("source_system_tab", "source_screen_name", "source_type", "msno", "song_id")
+    heard = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("song_id"))
+    songs = S.songs(spark, sf).join(heard, "song_id", "left_semi").select("artist_name", "composer", "lyricist")
+    areas = S.codes(spark, sf).join(heard, "song_id", "left_semi").select(C.isrc_area(F.col("isrc")).alias("song_area"))
+    return sparse_rows(wide, [context, songs, areas], keep=S.ID)
 
 
 MEMBER_OUT = (

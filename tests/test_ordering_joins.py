@@ -49,7 +49,7 @@ def test_label_encode_keeps_order_and_nulls(spark):
 
 def test_vocabularies_in_one_pass(spark):
     df = spark.createDataFrame([(10, "b|a"), (9, "c"), (None, None)], "n int, t string")
-    got = rows(O.vocabularies(df, {"n": F.col("n"), "t": F.split("t", r"\|")}))
+    got = rows(O.vocabularies([(df, {"n": F.col("n")}), (df, {"t": F.split("t", r"\|")}), (df, {"n": F.col("n")})]))
     assert got == [("n", "10", 1), ("n", "9", 0), ("t", "a", 0), ("t", "b", 1), ("t", "c", 2)]
 
 
