@@ -13,10 +13,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riffle.operators.joins import lookup_join
 from riffle.session import materialize
 
 _RANGE = "_range"
 _ROW = "_row"
+_TIE = "_tie"
 
 
 def _col(c: str | Column) -> Column:
@@ -26,11 +28,13 @@ def _col(c: str | Column) -> Column:
 def sorted_ranges(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """Rows cut to ordered ranges: ``_range`` is the range, ``_row`` the place in it.
 
-    The result is written to the shared folder, so range numbers stay the same
-    however often the table is read.
+    The task that read a row is the last sort key, so rows with equal keys can still be
+    cut into several ranges.  The result is written to the shared folder, so range
+    numbers stay the same however often the table is read.
     """
-    keys = [_col(c) for c in order]
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    tied = df.withColumn(_TIE, F.spark_partition_id())
+    keys = [*[_col(c) for c in order], F.col(_TIE)]
+    ranged = tied.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(_TIE)
     in_range = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return materialize(
         ranged.withColumn(_RANGE, F.spark_partition_id()).withColumn(_ROW, in_range)
@@ -65,8 +69,7 @@ def running_total(
     """Running sums over the whole table; ``values`` maps output name to input column.
 
     ``before`` maps names to input columns whose sum up to, but without, the row is
-    wanted; it equals the running sum of the row ahead to the last bit.  ``order``
-    should tell rows apart, since equal rows fall into one range.
+    wanted; it equals the running sum of the row ahead to the last bit.
     """
     ranged = sorted_ranges(df, order)
     cols = sorted({*values.values(), *(before or {}).values()})
@@ -103,7 +106,7 @@ def running_total(
 
 
 def positions(
-    df: DataFrame, key: str, order: Sequence[str | Column], out: str = "pos"
+    df: DataFrame, key: str, order: Sequence[str | Column], out: str = "pos", rows_per_split: int | None = None
 ) -> DataFrame:
     """0-based position of each row within its key.
 
@@ -114,7 +117,7 @@ def positions(
     indexed = materialize(global_index(df, [key, *order], "_idx"))
     first = indexed.groupBy(key).agg(F.min("_idx").alias("_first"))
     return (
-        indexed.join(first, key)
+        lookup_join(indexed, first, key, "inner", rows_per_split)
         .withColumn(out, F.col("_idx") - F.col("_first"))
         .drop("_idx", "_first")
     )

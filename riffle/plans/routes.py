@@ -15,13 +15,13 @@ def tour_length(
     """Length of each closed route; a leg without a distance makes it infinite.
 
     ``pos`` counts 0, 1, ... within a route.  The next stop is found by an equi join
-    on (route, pos + 1), so a route with very many stops is spread over all tasks.
+    on (route, pos + 1), and the way back from two grouped values, so a route with
+    very many stops is spread over all tasks.
     """
-    n = routes.groupBy(route).agg((F.max(pos) + 1).alias("_n"))
-    here = routes.join(n, route).select(
-        route, F.col(stop).alias("a"), ((F.col(pos) + 1) % F.col("_n")).alias(pos)
-    )
-    legs = here.join(routes.select(route, pos, F.col(stop).alias("b")), [route, pos])
+    here = routes.select(route, F.col(stop).alias("a"), (F.col(pos) + 1).alias(pos))
+    onward = here.join(routes.select(route, pos, F.col(stop).alias("b")), [route, pos]).select(route, "a", "b")
+    back = routes.groupBy(route).agg(F.max_by(stop, pos).alias("a"), F.min_by(stop, pos).alias("b"))
+    legs = onward.unionByName(back)
     edges = dist.groupBy("a", "b").agg(F.min("d").alias("d"))
     leg = F.coalesce(F.col("d"), F.lit(float("inf")))
     return legs.join(edges, ["a", "b"], "left").groupBy(route).agg(F.sum(leg).alias(out))

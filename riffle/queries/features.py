@@ -74,13 +74,27 @@ def html_assets(spark, sf):
     return found.withColumn("pos", F.col("pos") + 1)
 
 
-@query()
+# Text nodes by pattern: code and comments out, cut at tags, entities, punctuation.
+NODES_SQL = r"""
+cut as (select page_id, url, regexp_split_to_array(regexp_replace(regexp_replace(html,
+    '<(script|style)[^>]*>.*?</(script|style)>', '<x>', 'gs'), '<!--.*?-->', '<x>', 'gs'), '<[^>]*>') as parts from pages),
+listed as (select page_id, url, unnest(parts) as raw, generate_subscripts(parts, 1) as at_ from cut),
+plain as (select page_id, url, at_, regexp_replace(replace(replace(replace(raw, '&copy;', '©'), '&middot;', '·'),
+    '&quot;', '"'), '&amp;?', '&', 'g') as t from listed),
+clean as (select page_id, url, at_, translate(t, concat('!"#$%&()*+,-./:;<=>?@[\]^_`{|}~', chr(39)), '') as node from plain),
+nodes as (select page_id, url, node, row_number() over (partition by page_id order by at_) - 1 as pos from clean
+    where node <> '' and not contains(node, chr(10)))
+"""
+
+
+@query(f"with {NODES_SQL} select page_id, pos, node from nodes")
 def html_text(spark, sf):
     pages = table(spark, sf, "pages")
     return pages.select("page_id", F.posexplode(X.html_texts(F.col("html"))).alias("pos", "node"))
 
 
-@query()
+@query(f"""with {NODES_SQL} select page_id as question_uid, url, array_to_string(list(node order by pos), '') as qtext, '' as qimage
+from nodes group by page_id, url""")
 def corpus_build(spark, sf):
     """Pages as questions, the document of the same number as link, its language as knowledge."""
     questions = table(spark, sf, "pages").select(F.col("page_id").alias("question_uid"), "url", "html")
@@ -151,7 +165,7 @@ def sparse_features(spark, sf):
     facts = S.fact_rows(spark, sf)
     wide = S.wide_rows(spark, sf, facts).withColumn("gender_code", C.map_codes(F.col("gender"), {"BUILDING": 1, "FURNITURE": 2}, 0))
     context = facts.select("source_system_tab", "source_screen_name", "source_type", "msno", "song_id")
-    heard = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("song_id"))
+    heard = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("song_id")).distinct()
     songs = S.songs(spark, sf).join(heard, "song_id", "left_semi").select("artist_name", "composer", "lyricist")
     areas = S.codes(spark, sf).join(heard, "song_id", "left_semi").select(C.isrc_area(F.col("isrc")).alias("song_area"))
     return sparse_rows(wide, [context, songs, areas], keep=S.ID)

@@ -228,7 +228,9 @@ def linear_rules(spark, sf):
     return spark.createDataFrame(rows, "rule string, epochs int, metric double, accuracy double")
 
 
-@query()
+@query("""with r as (select value / 100 as x1, hour(ts) / 24 as x2, case when event_type = 'purchase' then 1 else -1 end as y from events)
+select 0 as batch, round(0.00001 * sum(y), 6) as w0, round(0.00001 * sum(y * x1), 6) as w1, round(0.00001 * sum(y * x2), 6) as w2,
+count(*) as rows, sum(y * y) / 2.0 as cost from r""")
 def partial_fit_steps(spark, sf):
     """The events as a stream; weights after every micro-batch."""
     events = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
@@ -238,7 +240,8 @@ def partial_fit_steps(spark, sf):
     )
     folder = f"{shared_folder(spark)}/riffle-stream/{uuid.uuid4().hex}"
     partial_fit_stream(rows, ["x1", "x2"], "y", folder, eta=1e-5).awaitTermination()
-    return weights_by_batch(spark, folder)
+    weights = [F.round(F.col("weights")[j], 6).alias(f"w{j}") for j in range(3)]
+    return weights_by_batch(spark, folder).select("batch", *weights, "rows", "cost")
 
 
 @query("""with z as (select e.embedding, d.n_chars, e.label from embeddings e join documents d on vec_id = doc_id),
