@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -131,6 +132,48 @@ def factor_epoch(spark, sf):
     return model.table.select("kind", F.col("id").cast("long").alias("id"), *[F.round(f"f{j}", 6).alias(f"f{j}") for j in range(3)])
 
 
+_SHIFT = {"product": "0.0", "sum": "0.0", "inside_product": "su * si", "inside_sum": "(su + si)"}
+_OUTSIDE = {"product": "su * si", "sum": "su + si", "inside_product": "0.0", "inside_sum": "0.0"}
+_BIAS_PULL = {"product": "2 * e * su", "sum": "2 * e", "inside_product": "2 * e * su * (q1 + q2 + q3)", "inside_sum": "2 * e * (q1 + q2 + q3)"}
+
+
+def _form_sql(form: str) -> str:
+    """One full-batch epoch of a skill-aware form."""
+    sh = _SHIFT[form]
+    est = " + ".join(f"(p{n} + {sh}) * q{n}" for n in (1, 2, 3))
+    err = f"(select *, rating - ({est} + {_OUTSIDE[form]}) as e from js)"
+    users = ", ".join(f"round(any_value(p{n}) + 0.0002 * sum(2 * e * q{n} - 0.002 * p{n}), 6) as f{n - 1}" for n in (1, 2, 3))
+    items = ", ".join(f"round(any_value(q{n}) + 0.0002 * sum(2 * e * (p{n} + {sh}) - 0.002 * q{n}), 6)" for n in (1, 2, 3))
+    bias = f"round(any_value(si) + 0.0002 * sum({_BIAS_PULL[form]} - 0.002 * si), 6)"
+    return (
+        f"select '{form}' as form, 'u' as kind, u as id, {users}, 0.0 as bias from {err} group by u "
+        f"union all select '{form}', 'i', i, {items}, {bias} from {err} group by i"
+    )
+
+
+@query(f"""with {PAIR_COUNTS},
+sk as (select u, (count(*) + 1.0) / (avg(num) + 1) as x from pairs group by u),
+su as (select u, (x - (select min(x) from sk) + 1) / ((select max(x) from sk) - (select min(x) from sk) + 1) as su from sk),
+js as (select kept.u, i, rating, su, {_start('i', 4)} as si, {_start('kept.u', 1)} as p1, {_start('kept.u', 2)} as p2, {_start('kept.u', 3)} as p3,
+  {_start('i', 1)} as q1, {_start('i', 2)} as q2, {_start('i', 3)} as q3 from kept join su on kept.u = su.u)
+{' union all '.join(_form_sql(f) for f in _SHIFT)}""")
+def factor_epoch_forms(spark, sf):
+    """One epoch of each skill-aware form from arithmetic start values."""
+    counts = A.interaction_counts(log_rows(spark, sf), "user", "item")
+    ratings = materialize(build_ratings([log_rows(spark, sf)], "user", "item", encode=False))
+    skill = materialize(A.user_skill(counts, "user", "num", "smoothed"))
+    parts = []
+    for form in _SHIFT:
+        model = M.factorize(ratings, k=3, steps=1, form=form, skill=skill, start=arithmetic_start)
+        parts.append(
+            model.table.select(
+                F.lit(form).alias("form"), "kind", F.col("id").cast("long").alias("id"),
+                *[F.round(c, 6).alias(c) for c in ("f0", "f1", "f2", "bias")],
+            )
+        )
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def _two_parts(spark, sf):
     ratings = materialize(build_ratings([log_rows(spark, sf)], "user", "item", encode=False))
     test, train = A.hash_split(ratings, ["user", "item"], 0.1)
