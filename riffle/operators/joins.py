@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riffle.session import materialize
+
 
 def hot_keys(fact: DataFrame, on: Sequence[str], rows_per_split: int) -> DataFrame:
     """Keys above ``rows_per_split`` rows and how many splits each one needs.
@@ -99,19 +101,16 @@ def candidate_counts(
 ) -> DataFrame:
     """For every left row, how many right rows share the first **or** the second key.
 
-    Counted as |A| + |B| - |A and B| from three grouped counts.  No pair of rows is
-    ever formed, so two keys with millions of rows on both sides cost no more than
-    two lookups.
+    Counted as |A| + |B| - |A and B|.  The right side is read once and kept as counts
+    per key pair; no pair of rows is ever formed, so two keys with millions of rows on
+    both sides cost no more than two lookups.
     """
     a, b = keys
-
-    def counted(cols: list[str], name: str) -> DataFrame:
-        return right.groupBy(*cols).agg(F.count(F.lit(1)).alias(name))
-
+    both = materialize(right.groupBy(a, b).agg(F.count(F.lit(1)).alias("_ab")))
     counts = (
-        left.join(counted([a], "_a"), a, "left")
-        .join(counted([b], "_b"), b, "left")
-        .join(counted([a, b], "_ab"), [a, b], "left")
+        left.join(both.groupBy(a).agg(F.sum("_ab").alias("_a")), a, "left")
+        .join(both.groupBy(b).agg(F.sum("_ab").alias("_b")), b, "left")
+        .join(both, [a, b], "left")
     )
     zero = F.lit(0).cast("long")
     total = F.coalesce("_a", zero) + F.coalesce("_b", zero) - F.coalesce("_ab", zero)
