@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the operator modules registers them."""
 
-from riffle.llm import bpe  # noqa: F401
+from riffle.llm import bpe, langid, minhash  # noqa: F401
 from riffle.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
