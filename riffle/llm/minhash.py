@@ -220,7 +220,8 @@ def _clusters(docs: DataFrame, classes: DataFrame, ties: DataFrame, k: int, bloc
         F.col("rep").alias("doc_id"), "d1", "cluster", "blocks", (F.col("d1") == F.col("leader")).alias("leads"),
         F.pmod(F.xxhash64("d1"), F.col("blocks")).cast("int").alias("block"),
     )
-    return materialize(_with_sets(docs.join(placed, "doc_id"), k).dropDuplicates(["d1"]))
+    # by a merge join at every size: a broadcast side would grow with the near-duplicates
+    return materialize(_with_sets(docs.join(placed.hint("merge"), "doc_id"), k).dropDuplicates(["d1"]))
 
 
 def _links_across(wide: DataFrame, links: DataFrame, percent: int) -> DataFrame:
