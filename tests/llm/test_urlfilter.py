@@ -1,0 +1,77 @@
+"""Rules and parts of urls against plain Python, segmentation, naive Bayes against plain counts."""
+
+import math
+import re
+from collections import Counter
+
+from riffle.llm import urlfilter as uf
+
+
+def parts(url):
+    if not url or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def rule(host, path):
+    fit = [(len(h + p), v, h + p) for v, h, p in uf.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fit)[1:] if fit else (None, None)
+
+
+def plain(pages):
+    """Verdicts by the whole method in plain Python."""
+    counts = Counter(w for _, _, html in pages for w in re.findall(r"[^\W\d_]+", re.sub("<[^>]*>", " ", html or "").lower()))
+    total = sum(counts.values()) or 1
+    logs = {w: math.log(n / total) for w, n in counts.items()}
+
+    def tokens(host, path):
+        out = []
+        for name in re.findall(r"[^\W\d_]+", host.lower()):
+            out += ["host " + w for w in uf.best_split(name, logs, math.log(10 / total))]
+        return out + ["path " + w for w in re.findall(r"[^\W\d_]+", path.lower())] + ["path #"] * len(re.findall("[0-9]+", path))
+
+    b, a, nb, na, seen = Counter(), Counter(), 0, 0, set()
+    for _, url, _ in pages:
+        host, path = parts(url)
+        got = tokens(host, path)
+        seen |= set(got)
+        verdict = rule(host, path)[0]
+        nb, na = nb + (verdict == "block"), na + (verdict == "allow")
+        (b if verdict == "block" else a if verdict == "allow" else Counter()).update(got)
+    out = []
+    for page, url, _ in pages:
+        host, path = parts(url)
+        s = math.log((nb + 1) / (na + 1))
+        for t in tokens(host, path):
+            s += math.log((b[t] + 1) / (sum(b.values()) + len(seen) + 1)) - math.log((a[t] + 1) / (sum(a.values()) + len(seen) + 1))
+        verdict, text = rule(host, path)
+        out.append((page, host, path, text, verdict or ("block" if s > 0 else "allow"), round(s, 6)))
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted(((r.page_id, r.host, r.path, r.rule, r.verdict, round(r.block_score, 6)) for r in df.collect()), key=repr)
+
+
+def test_split():
+    logs = {w: math.log(n / 100) for w, n in {"cheap": 5, "pills": 5, "the": 30, "pill": 2, "s": 1}.items()}
+    assert uf.best_split("cheappills", logs, math.log(10 / 100)) == ["cheap", "pills"]
+    assert uf.best_split("zzz", {}, -1.0) == ["zzz"] and uf.best_split("", {}, -1.0) == []
+    assert "".join(uf.best_split("q" * 200, logs, -3.0)) == "q" * 200
+
+
+def test_edges_against_plain(spark):
+    urls = [None, "", "no scheme", "http://", "HTTPS://A.Example.ORG/es/1?x#y", "http://example.org/en/12", "ftp://org", "http://org/", "x://y.com?/de/", "http://b.com/de/://c", "http://notexample.org/es/", "http://www.com/fr/Ünï#f", "http://" + "long" * 3000 + ".net/a", "http://bad.net/de/5", "http://good.net/fr/5", "http://good.net/fr/5"]
+    pages = [(i, u, "<p class='x'>The good bad and long text</p> org" if i % 3 else None) for i, u in enumerate(urls)] + [(None, "http://bad.com/de/77", "")]
+    df = spark.createDataFrame([(*p, "x", "y") for p in pages], "page_id long, url string, html string, host string, verdict string").repartition(3)
+    assert got(uf.judge(df)) == plain(pages)
+    assert uf.judge(df.limit(0)).count() == 0
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.01"
+    pages = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
+    assert got(uf.op7(spark, sf)) == plain(pages)
