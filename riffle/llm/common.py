@@ -52,6 +52,11 @@ def prefix_hash(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def inverse_powers(n: int) -> np.ndarray:
+    """What moves a difference of prefix sums that starts at each of n places to power 0."""
+    return _power_tables(n + 1)[1][:n]
+
+
 def stretch_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of every stretch [start, end) of the codes behind ``prefix``; equal content, equal hash."""
     _, down = _power_tables(len(prefix))
@@ -135,6 +140,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 __all__ = [
-    "id_remainder", "lower_az", "materialize", "mix64", "pieces", "prefix_hash", "shingle_hashes", "stretch_hash",
+    "id_remainder", "inverse_powers", "lower_az", "materialize", "mix64", "pieces", "prefix_hash", "shingle_hashes", "stretch_hash",
     "table", "text_bytes", "word_table",
 ]

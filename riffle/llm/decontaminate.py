@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riffle.llm.common import mix64, pieces, prefix_hash, stretch_hash, table
+from riffle.llm.common import inverse_powers, pieces, prefix_hash, table
 from riffle.llm.registry import query
 
 Q = 10
@@ -100,10 +100,12 @@ def cut(items: list[tuple[int, str]]) -> Windows:
 
 
 def _gram_hashes(codes: np.ndarray) -> np.ndarray:
-    if len(codes) < Q:
+    """64-bit hash of the q-gram at each place: the difference of two prefix sums, moved to power 0."""
+    n = len(codes) - Q + 1
+    if n < 1:
         return np.zeros(0, np.uint64)
-    at = np.arange(len(codes) - Q + 1)
-    return stretch_hash(prefix_hash(codes.astype(np.uint64)), at, at + Q)
+    prefix = prefix_hash(codes.astype(np.uint64))
+    return (prefix[Q:] - prefix[:n]) * inverse_powers(n)
 
 
 def occurrences(codes: np.ndarray, index: Windows) -> list[tuple[int, int, int, int]]:
@@ -131,10 +133,16 @@ def occurrences(codes: np.ndarray, index: Windows) -> list[tuple[int, int, int,
     budget = _budgets(index)[window]
     enough = shared >= sizes[window] - Q + 1 - Q * budget
     found = []
-    for w, b, k in zip(window[enough].tolist(), band[enough].tolist(), budget[enough].tolist()):
-        low = b * (k + 1) - WINDOW  # first diagonal of the band
-        if hit := aligned(index.codes[w], codes, low - k, 2 * (k + 1) + 2 * k, k):
-            found.append((w, *hit))
+    for m in np.unique(sizes[window[enough]]).tolist():
+        own = np.flatnonzero(enough & (sizes[window] == m))
+        k = edit_budget(m)
+        low = band[own] * (k + 1) - WINDOW - k  # first diagonal of the band, less what the edits can shift
+        patterns = np.stack([index.codes[w] for w in window[own]])
+        for at in range(0, len(own), 4096):
+            part = slice(at, at + 4096)
+            start, end, edits = aligned(patterns[part], codes, low[part], 4 * k + 2, k)
+            near = edits <= k
+            found += zip(window[own[part]][near].tolist(), start[near].tolist(), end[near].tolist(), edits[near].tolist())
     return found
 
 
@@ -147,31 +155,47 @@ def _budgets(index: Windows) -> np.ndarray:
     return np.array([edit_budget(len(w)) for w in index.codes], dtype=np.int64)
 
 
-def aligned(pattern: np.ndarray, codes: np.ndarray, low: int, width: int, budget: int) -> tuple[int, int, int] | None:
-    """Start, end and edits of the stretch nearest to the pattern on ``width`` diagonals from ``low``; None beyond the budget.
+def aligned(patterns: np.ndarray, codes: np.ndarray, low: np.ndarray, width: int, budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and edits of the stretch nearest to each pattern on ``width`` diagonals from its ``low``; beyond the budget edits are too many.
 
-    Cell j of row i ends a stretch at text place low + i + j; gaps of zeros match nothing.
+    Cell j of row i ends a stretch at text place low + i + j; gaps of zeros match nothing.  Patterns that stand
+    in the text letter by letter need no alignment.
     """
-    far = 1 << 20
+    far = np.int64(1 << 20)
     lane = np.arange(width)
-    cost = np.zeros(width, dtype=np.int64)
-    began = low + lane
-    cost[(began < 0) | (began > len(codes))] = far
-    for i, c in enumerate(pattern.tolist(), 1):
-        spot = low + i + lane - 1
-        inside = (spot >= 0) & (spot < len(codes))
-        across = cost + (codes[np.clip(spot, 0, len(codes) - 1)] != c)
-        across[~inside] = far
-        down = np.append(cost[1:], far) + 1  # a pattern code without a text code
+    rows, m = patterns.shape
+    padded = np.concatenate([np.zeros(WINDOW + width, codes.dtype), codes, np.zeros(WINDOW + 2 * width, codes.dtype)])
+    origin = low + WINDOW + width  # place of diagonal 0 of the band in the padded text
+    starts, ends, edits = low.copy(), low + m, np.full(rows, far)
+    spans = np.lib.stride_tricks.sliding_window_view(padded, m)
+    for j in range(width):
+        todo = np.flatnonzero(edits > 0)
+        same = todo[(spans[origin[todo] + j] == patterns[todo]).all(axis=1)]
+        starts[same], ends[same], edits[same] = low[same] + j, low[same] + j + m, 0
+    todo = np.flatnonzero(edits > 0)
+    at = low[todo, None] + lane
+    cost = np.where((at < 0) | (at > len(codes)), far, 0)
+    began = at
+    for i in range(1, m + 1):
+        if not len(todo):
+            return starts, ends, edits
+        spot = low[todo, None] + (i - 1) + lane
+        across = cost + (padded[spot + WINDOW + width] != patterns[todo, i - 1][:, None])
+        across[(spot < 0) | (spot >= len(codes))] = far
+        down = np.concatenate([cost[:, 1:], np.full((len(todo), 1), far)], axis=1) + 1  # a pattern code without a text code
         take = np.minimum(across, down)
-        source = np.where(across <= down, began, np.append(began[1:], 0))
-        reach = np.minimum.accumulate((take - lane) * width + lane)  # text codes without a pattern code
-        origin = reach % width
-        cost, began = take[origin] + lane - origin, source[origin]
-        if cost.min() > budget:
-            return None
-    j = int(cost.argmin())
-    return int(began[j]), int(low + len(pattern) + j), int(cost[j])
+        source = np.where(across <= down, began, np.concatenate([began[:, 1:], began[:, -1:]], axis=1))
+        reach = np.minimum.accumulate((take - lane) * width + lane, axis=1)  # text codes without a pattern code
+        lead = reach % width
+        cost = np.take_along_axis(take, lead, axis=1) + lane - lead
+        began = np.take_along_axis(source, lead, axis=1)
+        live = cost.min(axis=1) <= budget
+        todo, cost, began = todo[live], cost[live], began[live]
+    if len(todo):
+        j = cost.argmin(axis=1)
+        row = np.arange(len(todo))
+        starts[todo], ends[todo], edits[todo] = began[row, j], low[todo] + m + j, cost[row, j]
+    return starts, ends, edits
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
