@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the operator modules registers them."""
 
-from riffle.llm import bpe, decontaminate, fingerprint, langid, licenses, linededup, minhash, urlfilter  # noqa: F401
+from riffle.llm import bpe, decontaminate, fingerprint, langid, licenses, linededup, minhash, secrets, urlfilter  # noqa: F401
 from riffle.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
