@@ -30,7 +30,7 @@ from riffle.llm.registry import query
 #: How byte-level vocabularies split a text before merging (fixed value of the file format).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words kept encoded by each Python worker; a memory, not a limit.
-MEMORY = 1 << 19
+MEMORY = 1 << 18
 
 
 def _printable_bytes() -> dict[str, int]:
@@ -114,6 +114,10 @@ class Codec:
             at = m.end()
         return b"".join([*out, self.encode_plain(text[at:])])
 
+    def forget(self) -> None:
+        self.word_ids.clear()
+        self.chunk_ids.clear()
+
     def decode(self, ids) -> str:
         """Vocabulary strings one after the other; bytes that are not UTF-8 become U+FFFD."""
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
@@ -158,6 +162,7 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids")
             ends = np.concatenate([[0], np.cumsum([len(b) // 4 for b in blobs])]).astype(np.int32)
             ids = pa.array(np.frombuffer(b"".join(blobs), dtype=np.int32), type=pa.int32())
             yield _with_column(batch, out, pa.ListArray.from_arrays(pa.array(ends), ids))
+        own.forget()  # the worker lives on and may run other stages
 
     return df.mapInArrow(run, _schema(df, out, T.ArrayType(T.IntegerType())))
 

@@ -13,7 +13,7 @@ from riffle.session import materialize
 
 #: White space between words: 0x20 and 0x09 to 0x0D.
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

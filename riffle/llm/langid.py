@@ -30,6 +30,8 @@ SAMPLE_DOCS = 2000
 #: A document is rejected this many deviations above its language's usual cross-entropy.
 REJECT_AT = 8.0
 BLANK, START = 32, 1
+#: Bytes of text worked on at once: about 60 bytes of working memory for each.
+PIECE = 1 << 20
 _BETWEEN = "\ud800"  # no text in a table can hold it
 
 
@@ -166,7 +168,7 @@ def count_grams(docs: DataFrame, order: int) -> DataFrame:
     """(lang, gram, n) over the given (text, lang): gram is ``order`` codes of four bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE):
             langs, texts = batch.column(1).to_pylist(), batch.column(0).to_pylist()
             for lang in sorted(set(langs)):
                 codes, _ = character_codes([t for t, g in zip(texts, langs) if g == lang], order)
@@ -205,7 +207,7 @@ def _calibrate(model: Model, held: DataFrame) -> Model:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE):
             _, free, n, letters = model.cross_entropy(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(free), pa.array(np.where(letters > 0, n, 0))], names=["lang", "cost", "n"])
 
@@ -231,7 +233,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", reject_at
     kept = [f for f in docs.schema if f.name not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
+        for batch in pieces(batches, text, PIECE):
             own = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
             rows = batch.num_rows
             if model is None:
