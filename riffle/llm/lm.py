@@ -23,11 +23,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riffle.llm.common import id_remainder, materialize, mix64, pieces, table, text_bytes, word_table
+from riffle.llm.common import give_back, id_remainder, materialize, mix64, pieces, table, text_bytes, word_table
 from riffle.llm.eliasfano import Trie
 from riffle.llm.registry import query
 
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 2_000_000
 SHARD_TOKENS = 2_000_000
 SUCCESSOR_BITS = 40
 END, START = (int(x) for x in mix64(np.array([1, 2], dtype=np.uint64)))
@@ -58,6 +58,13 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(packed, kinds)], names=_NAMES)
 
 
+def _records(rows: pa.Table | pa.RecordBatch) -> Iterator[dict]:
+    """Rows as dictionaries whose binary values are views, not copies."""
+    for i in range(rows.num_rows):
+        cells = ((name, rows.column(k)[i]) for k, name in enumerate(rows.schema.names))
+        yield {name: None if not x.is_valid else x.as_buffer() if isinstance(x, pa.BinaryScalar) else x.as_py() for name, x in cells}
+
+
 def _planes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Low and high 16 bits; the high ones are mostly zeros, which compress."""
     return (x & 0xFFFF).astype("<u2"), (x >> 16).astype("<u2")
@@ -143,9 +150,10 @@ def _chunk(held: list[tuple]) -> Chunk:
 def _each(frame: DataFrame, f) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                for rows in f(batch.slice(i, 1).to_pylist()[0]):
+            for r in _records(batch):
+                for rows in f(r):
                     yield _rows(rows)
+        give_back()
 
     return frame.mapInArrow(run, _ROW)
 
@@ -155,7 +163,7 @@ def _common_words(state: DataFrame, shards: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in _records(batch):
                 c = Chunk.from_row(r)
                 n = np.bincount(c.tokens, minlength=len(c.words))
                 often = np.flatnonzero(n * 8 * shards > len(c.tokens))
@@ -204,7 +212,7 @@ def _ask_pairs(shards: int, hot: np.ndarray):
 def _answer_pairs(shards: int):
     def run(group: pa.Table) -> pa.Table:
         asked = []
-        for r in group.to_pylist():
+        for r in _records(group):
             raw = np.frombuffer(r["c"], np.uint8).reshape(-1, SUCCESSOR_BITS // 8)
             wide = np.zeros((len(raw), 8), np.uint8)
             wide[:, : raw.shape[1]] = raw
@@ -232,7 +240,7 @@ def _answer_pairs(shards: int):
 
 
 def _answer_words(group: pa.Table) -> pa.Table:
-    asked = [(r["chunk"], r["kind"], r["shard"], np.frombuffer(r["a"], np.uint64), _joined(r["b"], r["c"])) for r in group.to_pylist()]
+    asked = [(r["chunk"], r["kind"], r["shard"], np.frombuffer(r["a"], np.uint64), _joined(r["b"], r["c"])) for r in _records(group)]
     words, which = np.unique(np.concatenate([a[3] for a in asked]), return_inverse=True)
     value = np.concatenate([a[4] for a in asked])
     kind = np.repeat([a[1] for a in asked], [len(a[3]) for a in asked])
@@ -252,7 +260,7 @@ _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_scor
 
 def _finish(shards: int, hot: np.ndarray, train_tokens: int, kinds_seen: int, discount: float):
     def run(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
+        rows = list(_records(group))
         c = Chunk.from_row(next(r for r in rows if r["kind"] == _STATE))
         context, word, which, _ = c.pairs()
         count, kinds = np.zeros((2, len(c.words)), np.int64)
