@@ -41,8 +41,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left, checked to decode to its text."""
     words = bpe.vocabulary_text()
-    coded = bpe.encode(docs.select("doc_id", "lang", "text"), words)
-    back = bpe.decode(coded, words)
+    back = bpe.encode_decode(docs.select("doc_id", "lang", "text"), words, ["doc_id", "lang", "text"])
     return back.select(
         "doc_id", "lang", "ids", F.size("ids").cast("long").alias("n_tokens"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),

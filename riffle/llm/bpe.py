@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riffle.llm.common import pieces, table
+from riffle.llm.common import give_back, pieces, table
 from riffle.llm.registry import query
 
 #: How byte-level vocabularies split a text before merging (fixed value of the file format).
@@ -152,9 +152,7 @@ def _schema(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*(f for f in df.schema if f.name != name), T.StructField(name, kind)])
 
 
-def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``df`` with the ids of each whole text as array<int>."""
-
+def _encoder(vocabulary: str, text: str, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)
         for batch in pieces(batches, text):
@@ -163,13 +161,12 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids")
             ids = pa.array(np.frombuffer(b"".join(blobs), dtype=np.int32), type=pa.int32())
             yield _with_column(batch, out, pa.ListArray.from_arrays(pa.array(ends), ids))
         own.forget()  # the worker lives on and may run other stages
+        give_back()
 
-    return df.mapInArrow(run, _schema(df, out, T.ArrayType(T.IntegerType())))
+    return run
 
 
-def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``df`` with the text that each array of ids stands for."""
-
+def _decoder(vocabulary: str, ids: str, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)
         for batch in batches:
@@ -178,8 +175,35 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded
                 rows = part.column(part.schema.get_field_index(ids))
                 texts = [None if r is None else own.decode(r) for r in (x.values.tolist() if x.is_valid else None for x in _arrays(rows))]
                 yield _with_column(part, out, pa.array(texts, type=pa.string()))
+        give_back()
+
+    return run
+
+
+def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids") -> DataFrame:
+    """``df`` with the ids of each whole text as array<int>."""
+    return df.mapInArrow(_encoder(vocabulary, text, out), _schema(df, out, T.ArrayType(T.IntegerType())))
+
+
+def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``df`` with the text that each array of ids stands for."""
+    return df.mapInArrow(_decoder(vocabulary, ids, out), _schema(df, out, T.StringType()))
+
+
+def encode_decode(df: DataFrame, vocabulary: str, keep: list[str], text: str = "text") -> DataFrame:
+    """Columns ``keep`` of ``df``, ids and decoded, as ``decode(encode(df))`` gives them.
+
+    One Python worker a task does both: ids do not travel to Spark and back, and tables are held once.
+    """
+    coder, back = _encoder(vocabulary, text, "ids"), _decoder(vocabulary, "ids", "decoded")
+    made = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    schema = T.StructType([*(df.schema[c] for c in keep), *made])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in back(coder(batches)):
+            yield batch.select(schema.names)
 
-    return df.mapInArrow(run, _schema(df, out, T.StringType()))
+    return df.mapInArrow(run, schema)
 
 
 class _Row:
@@ -207,8 +231,7 @@ def bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole document and their decoded text, as digests."""
     words = vocabulary_text()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = decode(encode(docs, words).select("doc_id", "ids"), words)
-    return coded.select(
+    return encode_decode(docs, words, ["doc_id"]).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
