@@ -24,14 +24,23 @@ def load_state(spark: SparkSession, folder: str, batch_id: int) -> np.ndarray:
     return np.array(row["weights"])
 
 
-def partial_fit(df: DataFrame, model: LinearModel, label: str, eta: float = 0.01) -> LinearModel:
-    """One step on new rows, from the weights the model has."""
+def partial_fit(
+    df: DataFrame, model: LinearModel, label: str, eta: float = 0.01, average: bool = True, rows: int | None = None
+) -> LinearModel:
+    """One step on new rows, from the weights the model has.
+
+    The step is ``eta`` times the mean gradient, so it does not grow with the batch; ``average=False``
+    takes the sum.  ``rows`` saves the count if it is known.
+    """
     grad, cost = gradient(df, model, label)
+    if average:
+        grad = grad / max(1, df.count() if rows is None else rows)
     return LinearModel(model.features, model.weights - eta * grad, [*model.history, cost])
 
 
 def apply_batch(
-    batch: DataFrame, batch_id: int, start: np.ndarray, folder: str, features: Sequence[str], label: str, eta: float
+    batch: DataFrame, batch_id: int, start: np.ndarray, folder: str, features: Sequence[str], label: str, eta: float,
+    average: bool = True,
 ) -> None:
     """Step from the weights of the batch before and store the result under this batch id.
 
@@ -44,7 +53,7 @@ def apply_batch(
     data = batch.persist()
     rows = data.count()
     if rows:
-        model = partial_fit(data, model, label, eta)
+        model = partial_fit(data, model, label, eta, average, rows)
     data.unpersist()
     cost = model.history[-1] if model.history else 0.0
     spark.createDataFrame([(model.weights.tolist(), rows, cost)], _STATE).coalesce(1).write.mode(
@@ -60,11 +69,12 @@ def partial_fit_stream(
     start: np.ndarray | None = None,
     eta: float = 0.01,
     available_now: bool = True,
+    average: bool = True,
 ) -> StreamingQuery:
     """Start the stream; weights per batch and the stream's checkpoint live in ``folder``."""
     first = np.zeros(len(features) + 1) if start is None else np.asarray(start, dtype=float)
     writer = stream.writeStream.option("checkpointLocation", f"{folder.rstrip('/')}/checkpoint").foreachBatch(
-        lambda batch, batch_id: apply_batch(batch, batch_id, first, folder, features, label, eta)
+        lambda batch, batch_id: apply_batch(batch, batch_id, first, folder, features, label, eta, average)
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 

@@ -127,6 +127,23 @@ def test_subspace_rounds_agree_with_exact_vectors(spark):
         R.item_factors(long_ratings(spark, m), 1.0, max_rank=16, exact_items=5)
 
 
+def test_rounds_that_do_not_settle_are_an_error(spark):
+    m = np.random.default_rng(9).random((30, 24))
+    with pytest.raises(RuntimeError, match="rounds"):
+        R.item_factors(long_ratings(spark, m), 0.5, exact_items=5, rounds=2)
+
+
+def test_zeros_are_no_ratings_and_unknown_pairs_have_no_estimate(spark):
+    ratings = spark.createDataFrame([(1, 1, 0.0), (1, 2, 5.0), (2, 2, 3.0)], "user int, item int, rating double")
+    model = M.factorize(ratings, 2, 1)
+    assert {(r["kind"], r["id"]) for r in model.table.collect()} == {("u", "1"), ("u", "2"), ("i", "2")}
+    whole = M.factorize(ratings, 2, 1, keep="all")
+    assert ("i", "1") in {(r["kind"], r["id"]) for r in whole.table.collect()}
+    got = {(r["user"], r["item"]): r["estimate"] for r in M.predict_ratings(ratings, model).collect()}
+    assert got[1, 1] is None and got[1, 2] is not None and len(got) == 3
+    assert M.sweep(ratings, ratings, [{"k": 2, "steps": 1}]).first()["cold"] == 1
+
+
 def test_estimates_for_given_pairs(spark):
     _, _, want = brute_recommend(RATINGS, 0.9, 11, "cosine")
     ratings = long_ratings(spark)
