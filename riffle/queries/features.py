@@ -68,12 +68,23 @@ def tenure(spark, sf):
 
 @query("""select page_id, pos, href from (select page_id, unnest(h) as href, generate_subscripts(h, 1) as pos from (
 select page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) as h from pages))""")
-def html_assets(spark, sf):
+def html_links(spark, sf):
     pages = table(spark, sf, "pages")
     found = pages.select("page_id", F.posexplode(X.html_links(F.col("html"))).alias("pos", "href"))
     return found.withColumn("pos", F.col("pos") + 1)
 
 
+@query(r"""with e as (select page_id, unnest(regexp_extract_all(html, '<(?:a href="[^"]*"|div class="[^"]*")')) as e,
+generate_subscripts(regexp_extract_all(html, '<(?:a href="[^"]*"|div class="[^"]*")'), 1) as at_ from pages)
+select page_id, row_number() over (partition by page_id order by at_) as pos, string_split(e, '"')[2] as asset from e
+where e like '<a %' or string_split(e, '"')[2] <> ''""")
+def html_assets(spark, sf):
+    """Image sources and style urls of pages whose links and classes stand as images and backgrounds."""
+    shown = F.regexp_replace(F.regexp_replace("html", '<a href="', '<img src="'), '<div class="([^"]*)"', """<div style="background:url('$1')\"""")
+    found = table(spark, sf, "pages").select("page_id", F.posexplode(X.html_assets(shown)).alias("pos", "asset"))
+    return found.withColumn("pos", F.col("pos") + 1)
+
+
 # Text nodes by pattern: code and comments out, cut at tags, entities, punctuation.
 NODES_SQL = r"""
 cut as (select page_id, url, regexp_split_to_array(regexp_replace(regexp_replace(html,

@@ -271,20 +271,35 @@ def linear_rules(spark, sf):
     return spark.createDataFrame(rows, "rule string, epochs int, metric double, accuracy double")
 
 
-@query("""with r as (select value / 100 as x1, hour(ts) / 24 as x2, case when event_type = 'purchase' then 1 else -1 end as y from events)
-select 0 as batch, round(0.00001 * sum(y), 6) as w0, round(0.00001 * sum(y * x1), 6) as w1, round(0.00001 * sum(y * x2), 6) as w2,
-count(*) as rows, sum(y * y) / 2.0 as cost from r""")
+def _stream_step(part: int) -> str:
+    """Weights after one more third of the events, from those before."""
+    e = f"(select r.*, w.w0, w.w1, w.w2, y - (w.w0 + w.w1 * x1 + w.w2 * x2) as e from r cross join s{part} w where part = {part})"
+    weights = ", ".join(f"any_value(w{j}) + 0.05 * sum(e{x}) / count(*) as w{j}" for j, x in enumerate(("", " * x1", " * x2")))
+    return f"s{part + 1} as (select {part} as batch, {weights}, count(*) as rows, sum(e * e) / 2 / count(*) as mean_cost from {e})"
+
+
+@query(f"""with r as (select value / 100 as x1, hour(ts) / 24 as x2, case when event_type = 'purchase' then 1 else -1 end as y, event_id % 3 as part from events),
+s0 as (select 0.0::double as w0, 0.0::double as w1, 0.0::double as w2), {', '.join(map(_stream_step, range(3)))}
+select batch, round(w0, 6) as w0, round(w1, 6) as w1, round(w2, 6) as w2, rows, round(mean_cost, 6) as mean_cost
+from (select * from s1 union all select * from s2 union all select * from s3)""")
 def partial_fit_steps(spark, sf):
-    """The events as a stream; weights after every micro-batch."""
-    events = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    """The events arrive in three parts; weights after each, carried on through the stream's checkpoint."""
+    folder = f"{shared_folder(spark)}/riffle-stream/{uuid.uuid4().hex}"
+    whole = table(spark, sf, "events")
+    for part in range(3):
+        whole.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{folder}/source")
+        _fit_arrived(spark.readStream.schema(whole.schema).parquet(f"{folder}/source"), folder)
+    weights = [F.round(F.col("weights")[j], 6).alias(f"w{j}") for j in range(3)]
+    mean_cost = F.round(F.col("cost") / F.col("rows"), 6).alias("mean_cost")
+    return weights_by_batch(spark, folder).select("batch", *weights, "rows", mean_cost)
+
+
+def _fit_arrived(events, folder):
     rows = events.select(
         (F.col("value") / 100).alias("x1"), (F.hour("ts") / 24).alias("x2"),
         F.when(F.col("event_type") == "purchase", 1).otherwise(-1).alias("y"),
     )
-    folder = f"{shared_folder(spark)}/riffle-stream/{uuid.uuid4().hex}"
-    partial_fit_stream(rows, ["x1", "x2"], "y", folder, eta=1e-5).awaitTermination()
-    weights = [F.round(F.col("weights")[j], 6).alias(f"w{j}") for j in range(3)]
-    return weights_by_batch(spark, folder).select("batch", *weights, "rows", "cost")
+    partial_fit_stream(rows, ["x1", "x2"], "y", folder, eta=0.05).awaitTermination()
 
 
 @query("""with z as (select e.embedding, d.n_chars, e.label from embeddings e join documents d on vec_id = doc_id),

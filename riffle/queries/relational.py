@@ -9,6 +9,7 @@ from riffle.functions import text as X
 from riffle.operators import aggregates as A
 from riffle.operators import joins as J
 from riffle.operators import ordering as O
+from riffle.plans import boost
 from riffle.plans import routes as R
 from riffle.plans.ratings import build_ratings
 from riffle.queries import standin as S
@@ -184,7 +185,8 @@ def tag_summary(spark, sf):
 
 @query("select l_orderkey, max(l_extendedprice) as best from lineitem group by 1")
 def best_per_id(spark, sf):
-    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.max("l_extendedprice").alias("best"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_extendedprice").alias("best"))
+    return boost.best_per_id(lines, "l_orderkey", "best")
 
 
 @query(f"""with {PAIR_COUNTS},
