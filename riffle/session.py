@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Where a local session without ``spark.checkpoint.dir`` keeps its tables; made on first use.
+_local_folder: str | None = None
+
+
 def local_session(name: str = "riffle", cores: str = "*", partitions: int = 8) -> SparkSession:
     """A local session for tests and the benchmark; clusters bring their own."""
     return (
@@ -30,14 +35,16 @@ def shared_folder(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``.  Only a local session may
     fall back to a temporary folder, since there all tasks share one machine.
     """
+    global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="riffle-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if _local_folder is None or not os.path.isdir(_local_folder):
+        _local_folder = tempfile.mkdtemp(prefix="riffle-")
+    return _local_folder
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -50,4 +57,17 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/riffle-tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._riffle_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, once nothing reads them any more; other DataFrames are left alone."""
+    for table in tables:
+        path = getattr(table, "_riffle_path", None)
+        if path is None:
+            continue
+        spark = table.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
