@@ -98,6 +98,37 @@ def give_back() -> None:
         trim(0)
 
 
+#: Bytes that surely begin a character that is not white space: visible ASCII, and first bytes of blocks without any.
+_SOLID = np.zeros(256, dtype=bool)
+_SOLID[0x21:0x7F] = True
+_SOLID[0xC3:0xF5] = True
+_SOLID[[0xE1, 0xE2, 0xE3]] = False
+
+
+def space_cuts(data: np.ndarray, offsets: np.ndarray, after_space: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Where stretches of the texts begin, and which text each is of: at its start and before spaces that a visible character follows.
+
+    ``after_space=False``: only before spaces that don't follow another space.
+    """
+    cut = np.zeros(len(data), dtype=bool)
+    if len(data):
+        space = data == 0x20
+        cut[:-1] = space[:-1] & _SOLID[data[1:]]
+        if not after_space:
+            cut[1:] &= ~space[:-1]
+        full = offsets[1:] > offsets[:-1]
+        cut[offsets[1:][full] - 1] = False  # the next byte is another text's
+        cut[offsets[:-1][full]] = True
+    start = np.flatnonzero(cut)
+    return start, np.searchsorted(offsets, start, side="right") - 1
+
+
+def stretches(data: np.ndarray, start: np.ndarray) -> pa.LargeBinaryArray:
+    """The bytes from each start to the next one."""
+    ends = np.append(start, len(data)).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def word_table(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of A-Z lower-cased texts, in order: row, first byte, byte after the last, 64-bit hash."""
     if not len(data):
@@ -150,6 +181,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 __all__ = [
-    "give_back", "id_remainder", "inverse_powers", "lower_az", "materialize", "mix64", "pieces", "prefix_hash", "shingle_hashes", "stretch_hash",
-    "table", "text_bytes", "word_table",
+    "give_back", "id_remainder", "inverse_powers", "lower_az", "materialize", "mix64", "pieces", "prefix_hash", "shingle_hashes", "space_cuts",
+    "stretch_hash", "stretches", "table", "text_bytes", "word_table",
 ]
