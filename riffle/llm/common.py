@@ -129,6 +129,13 @@ def stretches(data: np.ndarray, start: np.ndarray) -> pa.LargeBinaryArray:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
 
 
+def binary_list(values: pa.LargeBinaryArray) -> list[bytes]:
+    """The values as Python bytes."""
+    ends = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1].tolist() if len(values) else [0]
+    raw = values.buffers()[2].to_pybytes() if ends[-1] else b""
+    return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def word_table(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of A-Z lower-cased texts, in order: row, first byte, byte after the last, 64-bit hash."""
     if not len(data):
@@ -181,6 +188,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 __all__ = [
-    "give_back", "id_remainder", "inverse_powers", "lower_az", "materialize", "mix64", "pieces", "prefix_hash", "shingle_hashes", "space_cuts",
+    "binary_list", "give_back", "id_remainder", "inverse_powers", "lower_az", "materialize", "mix64", "pieces", "prefix_hash", "shingle_hashes", "space_cuts",
     "stretch_hash", "stretches", "table", "text_bytes", "word_table",
 ]

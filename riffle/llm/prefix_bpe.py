@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from riffle.llm.common import give_back, pieces, space_cuts, stretches, table, text_bytes
+from riffle.llm.common import binary_list, give_back, pieces, space_cuts, stretches, table, text_bytes
 from riffle.llm.registry import query
 
 #: Stretches, and pairs of tokens, kept by each Python worker; a memory, not a limit.
@@ -252,13 +252,6 @@ class Encoder:
         return b"".join(map(self.ranks.bytes_of.__getitem__, ids))
 
 
-def binary_list(values: pa.LargeBinaryArray) -> list[bytes]:
-    """The values as Python bytes."""
-    ends = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1].tolist() if len(values) else [0]
-    raw = values.buffers()[2].to_pybytes() if ends[-1] else b""
-    return [raw[a:b] for a, b in zip(ends, ends[1:])]
-
-
 @lru_cache(maxsize=2)
 def encoder(ranks: str, pattern: str) -> Encoder:
     return Encoder(Ranks(ranks), pattern)
@@ -284,7 +277,6 @@ def encoding(ranks: str, pattern: str, text: str = "text", out: str = "ids") ->
             ends = np.cumsum([0, *(len(b) // 4 for b in blobs)]).astype(np.int32)
             ids = pa.array(np.frombuffer(b"".join(blobs), dtype=np.int32))
             yield _with_column(batch, out, pa.ListArray.from_arrays(pa.array(ends), ids))
-        own.stretch_ids.clear()  # the worker lives on and may run other stages
         give_back()
 
     return run
