@@ -20,19 +20,19 @@ other columns are left out, so their names can't clash.  Long texts are encoded
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riffle.llm.bpe import Codec
+from riffle.llm.bpe import SPLIT, Codec, byte_characters
 from riffle.llm.common import binary_list, give_back, materialize, pieces, space_cuts, stretches, table, text_bytes
 from riffle.llm.registry import query
 
@@ -114,30 +114,35 @@ class Pair:
     """Two tokenizers: byte-level BPE (A) and pieces with byte fallback (B), with the bytes of every id."""
 
     def __init__(self, a_json: str, b_model: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         import tokenizers
 
-        self.a = tokenizers.Tokenizer.from_str(a_json)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+        self._merge = tokenizers.Tokenizer.from_str(a_json).model.tokenize  # of one word, written as the file writes bytes
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         strings = Codec(a_json).strings
+        self._split = regex.compile(SPLIT)
+        self._written = {b: c for c, b in byte_characters().items()}
         self.a_bytes = [strings.get(i, b"") for i in range(max(strings) + 1)]
         names = ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in names]
         self.a_length = np.array([len(b) for b in self.a_bytes])
         self.b_length = np.array([len(b) for b in self.b_bytes])
 
+    def _a_ids(self, text: str) -> list[int]:
+        """Special tokens' strings are plain text here: only words are looked up."""
+        merge, written = self._merge, self._written
+        return [t.id for w in self._split.findall(text) for t in merge(w.encode().decode("latin-1").translate(written))]
+
     def encode(self, texts: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of texts that begin with a space by A, and of what follows it by B, which puts a space there itself."""
         whole = [t.decode("utf-8", "replace") for t in texts]
-        a = [e.ids for e in self.a.encode_batch(whole, add_special_tokens=False)]
-        return a, self.b.encode([t[1:] for t in whole], num_threads=1) if whole else []
+        return [self._a_ids(t) for t in whole], self.b.encode([t[1:] for t in whole], num_threads=1) if whole else []
 
-    def same(self, text: bytes, a: list[int], b: list[int]) -> bool:
-        return b"".join(map(self.a_bytes.__getitem__, a)) == text and b"".join(map(self.b_bytes.__getitem__, b)) == text
+    def same(self, texts: list[bytes], a: list[list[int]], b: list[list[int]]) -> list[bool]:
+        """Whether both tokenizers' bytes are those of each text."""
+        sides = ((ids, own) for ids, own in ((a, self.a_bytes), (b, self.b_bytes)))
+        made = [[b"".join(map(own.__getitem__, x)) for x in ids] for ids, own in sides]
+        return [x == t == y for t, x, y in zip(texts, *made)]
 
 
 @lru_cache(maxsize=1)
@@ -167,7 +172,7 @@ class Chunk:
 
     def _learn(self, new: list[bytes]) -> None:
         a, b = self.pair.encode(new)
-        good = [self.pair.same(t, x, y) for t, x, y in zip(new, a, b)]
+        good = self.pair.same(new, a, b)
         kept = [k for k, g in enumerate(good) if g]
         for t, g in zip(new, good):
             if not g:

@@ -33,7 +33,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 MEMORY = 1 << 18
 
 
-def _printable_bytes() -> dict[str, int]:
+def byte_characters() -> dict[str, int]:
     """The file writes each byte as one visible character: itself if visible in Latin-1, else 256 and up in order."""
     shown = [b for b in range(256) if unicodedata.category(chr(b))[0] in "LNPS" and b != 0xAD]
     hidden = [b for b in range(256) if b not in set(shown)]
@@ -45,7 +45,7 @@ class Codec:
 
     def __init__(self, text: str):
         spec = json.loads(text)
-        model, byte_of = spec["model"], _printable_bytes()
+        model, byte_of = spec["model"], byte_characters()
         ids = model["vocab"]
         self.strings = {i: bytes(byte_of[c] for c in s) for s, i in ids.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
