@@ -37,7 +37,7 @@ from riffle.llm.common import binary_list, give_back, materialize, pieces, space
 from riffle.llm.registry import query
 
 WORK = 128
-CHUNK_STRETCHES = 2_000_000
+CHUNK_STRETCHES = 1_000_000
 
 
 def splits(a_ends: np.ndarray, b_ends: np.ndarray, diagonals: np.ndarray) -> np.ndarray:
