@@ -8,63 +8,113 @@ import tempfile
 import numpy as np
 
 
+PIECE = 1 << 16
+_BLOCK = 512  # bits for each entry of a directory
+_ONES = np.bitwise_count(np.arange(256, dtype=np.uint8))
+#: place of the k-th set bit of a byte, from bit 0 on
+_PLACE = np.array([[*np.flatnonzero(np.unpackbits(np.uint8(b), bitorder="little")), *[8] * 8][:8] for b in range(256)], dtype=np.uint8)
+
+
+class Bits:
+    """A bit sequence, bit 0 of each byte first, searched in place: one count for every 512 bits is kept beside it."""
+
+    def __init__(self, data: np.ndarray):
+        """``data``: bytes, in whole blocks."""
+        self.words = data.view("<u8").reshape(-1, _BLOCK // 64)
+        counts = np.concatenate([np.bitwise_count(self.words[i : i + PIECE]).sum(axis=1, dtype=np.int64) for i in range(0, len(self.words), PIECE)])
+        self.ones = np.append(0, np.cumsum(counts))
+
+    def select(self, k: np.ndarray, bit: int) -> np.ndarray:
+        """Place of the k-th (from 0) bit of this value, which must be there."""
+        out = np.empty(len(k), dtype=np.int64)
+        before = self.ones if bit else np.arange(len(self.ones)) * _BLOCK - self.ones
+        for at in range(0, len(k), PIECE):
+            rest = k[at : at + PIECE].astype(np.int64)
+            block = np.searchsorted(before, rest, side="right") - 1
+            rest = rest - before[block]
+            words = self.words[block] if bit else ~self.words[block]
+            words, place, rest = _descend(words, np.bitwise_count(words), rest)
+            inner = words.view(np.uint8).reshape(-1, 8)
+            byte, place8, rest = _descend(inner, _ONES[inner], rest)
+            out[at : at + PIECE] = block * _BLOCK + place * 64 + place8 * 8 + _PLACE[byte, rest]
+        return out
+
+
+def _descend(parts: np.ndarray, ones: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The part of each row that holds the k-th set bit, its place in the row, and which of the part's bits it is."""
+    upto = np.cumsum(ones, axis=1, dtype=np.int64)
+    place = (upto <= k[:, None]).sum(axis=1)
+    rows = np.arange(len(k))
+    return np.ascontiguousarray(parts[rows, place]), place, k - (upto[rows, place] - ones[rows, place])
+
+
 class EliasFano:
     """A non-decreasing sequence below ``universe``: low bits packed, high bits in unary, searched without decoding it."""
 
     def __init__(self, low_bits: int, n: int, lows: np.ndarray, highs: np.ndarray):
-        self.low_bits, self.n, self.lows, self.highs = low_bits, n, lows, highs
-        ones = np.flatnonzero(np.unpackbits(highs)) if n else np.zeros(0, np.int64)
-        high = ones - np.arange(n)
-        #: first element of each high part: the directory of the unary bits
-        self.first = np.searchsorted(high, np.arange((int(high[-1]) if n else 0) + 2)).astype(np.int64)
+        self.low_bits, self.n, self.lows, self.highs = low_bits, n, lows, Bits(highs)
+        self.most = int(self.highs.select(np.array([n - 1]), 1)[0]) - n + 1 if n else 0  # the largest high part
 
     @staticmethod
     def pack(values: np.ndarray, universe: int) -> tuple[int, np.ndarray, np.ndarray]:
+        """Width of the low bits, their bytes and the unary bytes; works through pieces, so it needs little beside its result."""
         n = len(values)
         low_bits = max(0, (max(1, universe) // max(1, n)).bit_length() - 1)
-        values = values.astype(np.uint64)
-        bits = ((values[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
-        lows = np.packbits(bits.ravel())
-        high = (values >> np.uint64(low_bits)).astype(np.int64)
-        unary = np.zeros((int(high[-1]) if n else 0) + n + 1, dtype=np.uint8)
-        unary[high + np.arange(n)] = 1
-        return low_bits, np.append(lows, np.zeros(16, np.uint8)), np.packbits(unary)
+        most = int(values[-1]) >> low_bits if n else 0
+        lows = np.zeros((n * low_bits + 7) // 8 + 16, np.uint8)
+        # what follows the last one is zeros enough for the next select
+        highs = np.zeros(((most + n + 1 + _BLOCK) // _BLOCK + 1) * _BLOCK // 8, np.uint8)
+        for at in range(0, n, PIECE):  # a multiple of 8, so that pieces end with whole bytes
+            part = np.ascontiguousarray(values[at : at + PIECE].astype("<u8"))
+            if low_bits:
+                bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :low_bits]
+                packed = np.packbits(bits.ravel(), bitorder="little")
+                lows[at * low_bits // 8 : at * low_bits // 8 + len(packed)] = packed
+            place = (part >> np.uint64(low_bits)).astype(np.int64) + np.arange(at, at + len(part))
+            byte = place >> 3
+            first = np.flatnonzero(np.append(True, byte[1:] != byte[:-1]))
+            highs[byte[first]] |= np.bitwise_or.reduceat((1 << (place & 7)).astype(np.uint8), first)
+        return low_bits, lows, highs
 
     def _low(self, at: np.ndarray) -> np.ndarray:
-        """Low bits of the elements at the given places; bit 0 comes first."""
+        """Low bits of the elements at the given places."""
         bit = at * self.low_bits
         out = np.zeros(len(at), dtype=np.uint64)
         byte, shift = bit >> 3, bit & 7
         for k in range((self.low_bits + 14) // 8):
-            part = _REVERSED[self.lows[byte + k]].astype(np.uint64)
+            part = self.lows[byte + k].astype(np.uint64)
             move = 8 * k - shift
             out |= np.where(move >= 0, part << np.maximum(move, 0).astype(np.uint64), part >> np.maximum(-move, 0).astype(np.uint64)) * (move < 64)
         return out & np.uint64((1 << self.low_bits) - 1)
 
     def get(self, at: np.ndarray) -> np.ndarray:
-        high = np.searchsorted(self.first, at, side="right") - 1
+        high = self.highs.select(at, 1) - at
         return (high.astype(np.uint64) << np.uint64(self.low_bits)) | self._low(at)
 
+    def _first(self, high: np.ndarray) -> np.ndarray:
+        """How many elements have a smaller high part."""
+        out = np.zeros(len(high), dtype=np.int64)
+        some = high > 0
+        out[some] = self.highs.select(high[some] - 1, 0) - high[some] + 1
+        return out
+
     def find(self, asked: np.ndarray) -> np.ndarray:
         """Place of the first element not below each value (its successor); n if there is none."""
         asked = asked.astype(np.uint64)
         high = (asked >> np.uint64(self.low_bits)).astype(np.int64)
-        inside = high < len(self.first) - 1
-        high = np.minimum(high, len(self.first) - 2)
-        low, end = self.first[high].copy(), self.first[high + 1].copy()
-        low[~inside] = end[~inside] = self.n
-        want = asked & np.uint64((1 << self.low_bits) - 1)
-        while True:
-            open_ = np.flatnonzero(low < end)
-            if not len(open_):
-                return low
+        out = np.full(len(asked), self.n, dtype=np.int64)
+        if not self.n:
+            return out
+        inside = np.flatnonzero((high >= 0) & (high <= self.most))
+        low, end = self._first(high[inside]), self._first(high[inside] + 1)
+        want = asked[inside] & np.uint64((1 << self.low_bits) - 1)
+        while len(open_ := np.flatnonzero(low < end)):
             mid = (low[open_] + end[open_]) >> 1
             less = self._low(mid) < want[open_]
             low[open_[less]] = mid[less] + 1
             end[open_[~less]] = mid[~less]
-
-
-_REVERSED = np.packbits(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)[:, ::-1], axis=1).ravel()
+        out[inside] = low
+        return out
 
 
 class Trie:
@@ -84,7 +134,8 @@ class Trie:
             EliasFano.pack(np.append(start, len(contexts)), len(contexts) + 1),
             EliasFano.pack(rank << np.uint64(bits) | successors, max(1, len(known)) << bits),
         )
-        parts = [p for _, lows, highs in levels for p in (lows, highs)] + [values.astype("<u2").view(np.uint8)]
+        parts = [p for _, lows, highs in levels for p in (np.append(lows, np.zeros(-len(lows) % 8, np.uint8)), highs)]
+        parts.append(values.astype("<u2").view(np.uint8))
         handle, path = tempfile.mkstemp(prefix="trie-")
         try:
             with os.fdopen(handle, "wb") as f:

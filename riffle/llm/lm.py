@@ -1,7 +1,8 @@
 """Word bigram scores from a sharded Elias-Fano trie.
 
 P(w | v) = max(c(v w) - D, 0) / c(v) + D * kinds(v) / c(v) * P1(w), with P1(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1)): absolute
-discounting over the smoothed unigram.  Counts come from all training documents; every document is scored.
+discounting over the smoothed unigram.  Counts come from all training documents; every document is scored.  The first term is
+what the trie stores, in 16 bits, to 0.03 % of its value.
 
 The corpus is cut to chunks of about ``CHUNK_TOKENS`` tokens.  A chunk asks for each different word and word
 pair once: a request names the pair and how often the chunk's training documents hold it.  A shard adds up
@@ -31,20 +32,21 @@ CHUNK_TOKENS = 2_000_000
 SHARD_TOKENS = 2_000_000
 SUCCESSOR_BITS = 40
 END, START = (int(x) for x in mix64(np.array([1, 2], dtype=np.uint64)))
-_EXACT = 4096
-_STEP = np.log(2.0**40 / _EXACT) / (65535 - _EXACT)
+DISCOUNT = 0.75
+#: Between two codes of a probability; the smallest one that has a code is 1e-14.
+_STEP = 14 * np.log(10) / 65534
 _ROW = "chunk long, kind int, shard int, n long, a binary, b binary, c binary, d binary, e binary, f binary"
 _NAMES = [f.split()[0] for f in _ROW.split(", ")]
 _STATE, _WORDS, _PAIRS, _KINDS, _TOTALS = range(5)
 
 
-def quantise(count: np.ndarray) -> np.ndarray:
-    """16-bit code of a count: exact below 4096, then steps of 0.03 %."""
-    return np.where(count < _EXACT, count, np.minimum(65535, np.rint(_EXACT + np.log(np.maximum(count, 1) / _EXACT) / _STEP))).astype(np.uint16)
+def quantise(p: np.ndarray) -> np.ndarray:
+    """16-bit code of a probability above 0; code 0 stands for none."""
+    return np.clip(1 + np.rint(-np.log(p) / _STEP), 1, 65535).astype(np.uint16)
 
 
 def restored(code: np.ndarray) -> np.ndarray:
-    return np.where(code < _EXACT, code.astype(np.float64), _EXACT * np.exp((code.astype(np.float64) - _EXACT) * _STEP))
+    return np.where(code > 0, np.exp((1.0 - code.astype(np.float64)) * _STEP), 0.0)
 
 
 def _shard(h: np.ndarray, shards: int) -> np.ndarray:
@@ -158,20 +160,38 @@ def _each(frame: DataFrame, f) -> DataFrame:
     return frame.mapInArrow(run, _ROW)
 
 
-def _common_words(state: DataFrame, shards: int) -> np.ndarray:
-    """Words with over a quarter of a shard's share of all tokens: at most 4 * shards of them."""
+def _common_words(state: DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words with over a quarter of a shard's share of all tokens, at most 4 * shards of them, and START; and their counts as training contexts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in _records(batch):
                 c = Chunk.from_row(r)
                 n = np.bincount(c.tokens, minlength=len(c.words))
-                often = np.flatnonzero(n * 8 * shards > len(c.tokens))
-                yield pa.RecordBatch.from_arrays([pa.array(c.words[often].view(np.int64)), pa.array(n[often])], names=["word", "n"])
+                many = np.flatnonzero(n * 8 * shards > len(c.tokens))
+                yield pa.RecordBatch.from_arrays([pa.array(c.words[many].view(np.int64)), pa.array(n[many])], names=["word", "n"])
 
     total = state.agg(F.sum("n")).first()[0] or 0
-    counted = state.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") * 4 * shards > total)
-    return np.array(sorted({*(r.word for r in counted.collect()), np.uint64(START).astype(np.int64)}), dtype=np.int64).view(np.uint64)
+    counted = state.mapInArrow(often, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") * 4 * shards > total)
+    hot = np.array(sorted({*(r.word for r in counted.collect()), np.uint64(START).astype(np.int64)}), dtype=np.int64).view(np.uint64)
+    hot = np.sort(hot)
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(hot), np.int64)
+        for batch in batches:
+            for r in _records(batch):
+                c = Chunk.from_row(r)
+                own = np.bincount(c.tokens[c.trains], minlength=len(c.words))
+                own[-1] = np.count_nonzero(c.flags & 1)  # START stands before the first token of each text
+                at = np.minimum(np.searchsorted(hot, c.words), len(hot) - 1)
+                same = hot[at] == c.words
+                n[at[same]] += own[same]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(hot))), pa.array(n)], names=["at", "n"])
+
+    counts = np.zeros(len(hot), np.int64)
+    for r in state.mapInArrow(trained, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        counts[r.at] = r.n
+    return hot, counts
 
 
 def _ask_words(shards: int):
@@ -209,7 +229,7 @@ def _ask_pairs(shards: int, hot: np.ndarray):
     return ask
 
 
-def _answer_pairs(shards: int):
+def _answer_pairs(shards: int, hot: np.ndarray, hot_counts: np.ndarray, discount: float):
     def run(group: pa.Table) -> pa.Table:
         asked = []
         for r in _records(group):
@@ -225,15 +245,20 @@ def _answer_pairs(shards: int):
         new = np.ones(len(order), dtype=bool)
         new[1:] = (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])
         at = np.flatnonzero(new)
-        total = np.add.reduceat(count, at) if len(at) else count
-        trie = Trie(context[at], successor[at], quantise(total), SUCCESSOR_BITS)
+        context, successor = context[at], successor[at]
+        count = np.add.reduceat(count, at) if len(at) else count
+        first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(at) else at
+        known, total = context[first], np.add.reduceat(count, first) if len(at) else count
+        place = np.minimum(np.searchsorted(hot, known), len(hot) - 1)
+        total = np.where(hot[place] == known, hot_counts[place], total)  # of a split context, not all pairs are here
+        p = (count - discount) / np.repeat(total, np.diff(np.append(first, len(at))))
+        trie = Trie(context, successor, quantise(p), SUCCESSOR_BITS)
         rows = [(chunk, _PAIRS, shard, 0, trie.lookup(c, runs, s), None, None, None, None, None) for chunk, shard, c, runs, s, _ in asked]
         words, kinds = trie.degrees()
         home = _shard(words, shards)
         for s in np.unique(home):
             own = home == s
             rows.append((-1, _KINDS, int(s), 0, words[own], *_planes(kinds[own]), None, None, None))
-        rows.append((-1, _TOTALS, int(np.sum(total == 1)), int(np.sum(total == 2)), *[None] * 6))
         return pa.Table.from_batches([_rows(rows)])
 
     return run
@@ -278,10 +303,8 @@ def _finish(shards: int, hot: np.ndarray, train_tokens: int, kinds_seen: int, di
         single = (count + 0.5) / (train_tokens + 0.5 * (kinds_seen + 1))
         total = count.astype(np.float64)
         total[-1] = count[:-1][c.words[:-1] == np.uint64(END)].sum()  # as often as texts begin, they end
-        # the mass taken from the seen: exact, so that probabilities add up to 1
-        seen = np.maximum(restored(code) - discount, 0) * (code > 0)
         safe = np.maximum(total, 1)
-        p = np.where(total[context] > 0, seen / safe[context] + discount * kinds[context] / safe[context] * single[word], single[word])
+        p = np.where(total[context] > 0, restored(code) + discount * kinds[context] / safe[context] * single[word], single[word])
         starts = np.append(0, c.ends[:-1])
         known = np.add.reduceat((count[c.tokens] > 0).astype(np.int64), starts)
         base = np.add.reduceat(np.log10(single)[c.tokens], starts)
@@ -293,24 +316,23 @@ def _finish(shards: int, hot: np.ndarray, train_tokens: int, kinds_seen: int, di
     return run
 
 
-def score(docs: DataFrame, trains: Column, held: Column, chunk_tokens: int = CHUNK_TOKENS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def score(docs: DataFrame, trains: Column, held: Column, chunk_tokens: int = CHUNK_TOKENS, shard_tokens: int = SHARD_TOKENS, discount: float = DISCOUNT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of (doc_id, text).
 
     Learns from rows where ``trains`` holds.  Null texts are empty and have the end as their only token; a row without an
     id is scored and teaches nothing if ``trains`` is null for it.  Repeated rows count and are scored each.
-    Without training rows every token has the probability 1 / (V + 1) = 1.
+    Without training rows every token has the probability 1 / (V + 1) = 1.  Long texts are scored whole: a chunk holds at least
+    one document.  ``discount`` (above 0, below 1) is what each seen pair gives to the unseen.
     """
     state = chunks(docs, trains, held, chunk_tokens)
     tokens = state.agg(F.sum("n")).first()[0] or 0
     shards = max(4, -(-tokens // shard_tokens))
-    hot = _common_words(state, shards)
+    hot, hot_counts = _common_words(state, shards)
     asked = _each(state, _ask_pairs(shards, hot)).repartition(shards, "shard")
-    pairs = materialize(asked.groupBy("shard").applyInArrow(_answer_pairs(shards), _ROW))
+    pairs = materialize(asked.groupBy("shard").applyInArrow(_answer_pairs(shards, hot, hot_counts, discount), _ROW))
     words = _each(state, _ask_words(shards)).unionByName(pairs.where(F.col("kind") == _KINDS))
     words = materialize(words.groupBy("shard").applyInArrow(_answer_words, _ROW))
     v, n = words.where(F.col("kind") == _TOTALS).agg(F.coalesce(F.sum("shard"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    once, twice = pairs.where(F.col("kind") == _TOTALS).agg(F.coalesce(F.sum("shard"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    discount = min(0.95, max(0.1, once / max(1, once + 2 * twice)))
     rows = state.unionByName(words.where(F.col("kind") == _WORDS)).unionByName(pairs.where(F.col("kind") == _PAIRS))
     out = rows.groupBy("chunk").applyInArrow(_finish(shards, hot, n, v, discount), _SCORES)
     return out.withColumn("train_tokens", F.lit(n).cast("long"))
