@@ -14,7 +14,7 @@ from riffle.plans import boost as B
 from riffle.plans import factors as M
 from riffle.plans import linear as L
 from riffle.plans.ratings import build_ratings
-from riffle.plans.recommend import item_factors, recommend
+from riffle.plans.recommend import estimate_by, estimate_unrated, item_factors, kept_energy, recommend
 from riffle.plans.sparse import MEMBER_ORDER, SONG_ORDER, export_affinity_features
 from riffle.queries import standin as S
 from riffle.queries.registry import query, table
@@ -195,22 +195,92 @@ def factor_sweep(spark, sf):
     return M.sweep(train, test, [{"k": k, "steps": s} for k in (3, 5) for s in (1, 2)])
 
 
-def brand_ratings(spark, sf):
-    lines = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    logs = lines.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return build_ratings([logs], "o_custkey", "p_name", encode=False).select(
-        F.col("o_custkey").alias("user"), F.col("p_name").alias("item"), "rating"
-    )
+def part_ratings(spark, sf):
+    """Ratings of customers for all parts, from how often they bought them."""
+    return build_ratings([log_rows(spark, sf)], "user", "item", encode=False).select("user", "item", "rating")
 
 
-@query()
-def svd_recommend(spark, sf):
-    return recommend(brand_ratings(spark, sf), n=3, share=0.8)
+def _power_sql(rounds: int) -> str:
+    """The first singular vector by plain power steps from equal weights; its values lie far apart, so few suffice."""
+    parts = ["v0 as (select i, 1.0 as x from kept group by i)"]
+    for n in range(rounds):
+        parts += [
+            f"y{n} as (select u, sum(rating * x) as y from kept join v{n} using (i) group by u)",
+            f"z{n} as (select i, sum(rating * y) as z from kept join y{n} using (u) group by i)",
+            f"v{n + 1} as (select i, z / (select sqrt(sum(z * z)) from z{n}) as x from z{n})",
+        ]
+    return f"with {PAIR_COUNTS},\n" + ",\n".join(parts)
 
 
-@query()
+@query(f"{_power_sql(16)}\nselect i as item, round(x, 4) as weight from v16")
 def svd_item_factors(spark, sf):
-    return item_factors(brand_ratings(spark, sf), share=0.8)
+    """The first item vector over all parts."""
+    vectors = item_factors(part_ratings(spark, sf), share=1.0, max_rank=1, block=4)
+    return vectors.select("item", F.round(F.col("v")[0], 4).alias("weight"))
+
+
+@query(f"""{_power_sql(16)},
+y as (select u, sum(rating * x) as y from kept join v16 using (i) group by u)
+select (select count(distinct i) from kept) as items, round((select sum(rating * rating) from kept), 4) as energy,
+round((select sum(y * y) from y), 4) as held, round((select sum(rating * rating) from kept) - (select sum(y * y) from y), 4) as squared_error""")
+def svd_energy(spark, sf):
+    """What the first item vector holds of the sum of squared ratings, and the squared error of the reconstruction."""
+    ratings = materialize(part_ratings(spark, sf))
+    vectors = item_factors(ratings, share=1.0, max_rank=1, block=4)
+    whole, held = kept_energy(ratings, vectors)
+    row = (vectors.count(), round(whole, 4), round(held, 4), round(whole - held, 4))
+    return spark.createDataFrame([row], "items long, energy double, held double, squared_error double")
+
+
+@query()
+def svd_recommend(spark, sf):
+    """Three parts for every customer, by the eight strongest item vectors."""
+    ratings = materialize(part_ratings(spark, sf))
+    return recommend(ratings, n=3, factors=item_factors(ratings, share=1.0, max_rank=8, passes=3))
+
+
+def given_vectors(spark, sf):
+    """Vectors made from the part's number, so that SQL has the same ones."""
+    i = F.col("p_partkey")
+    v = F.array((i * 7) % 10 + 1, (i * 3) % 7 - 3, (i * 5) % 11 - 5).cast("array<double>")
+    return table(spark, sf, "part").select(i.alias("item"), v.alias("v"))
+
+
+GIVEN = """raw as (select p_partkey as i, (p_partkey * 7) % 10 + 1.0 as x, (p_partkey * 3) % 7 - 3.0 as y, (p_partkey * 5) % 11 - 5.0 as z from part),
+unit as (select i, cast(x as double) / sqrt(x * x + y * y + z * z) as x, cast(y as double) / sqrt(x * x + y * y + z * z) as y, cast(z as double) / sqrt(x * x + y * y + z * z) as z from raw),
+prof as (select u, sum(cast(rating as double)) as s, count(*) as n, sum(rating * x) as ax, sum(rating * y) as ay, sum(rating * z) as az,
+         sum(x) as bx, sum(y) as by_, sum(z) as bz from kept join unit using (i) group by u)"""
+
+
+@query(f"""with {PAIR_COUNTS}, {GIVEN},
+scored as (select u, i, round((s + ax * x + ay * y + az * z) / (n + bx * x + by_ * y + bz * z), 9) as e from prof, unit
+           where n + bx * x + by_ * y + bz * z > 1e-9),
+open_ as (select * from scored anti join kept using (u, i)),
+best as (select *, row_number() over (partition by u order by e desc, i) as rank from open_ qualify rank <= 3)
+select u as "user", i as item, round(e, 6) as estimate, rank from best""")
+def recommend_given_vectors(spark, sf):
+    """Three unrated parts for every customer out of all parts, by given item vectors."""
+    out = recommend(part_ratings(spark, sf), n=3, factors=given_vectors(spark, sf))
+    return out.select("user", "item", F.round("estimate", 6).alias("estimate"), "rank")
+
+
+@query(f"""with {PAIR_COUNTS}, {GIVEN},
+asked as (select c_custkey as u, (c_custkey * 37) % (2 * (select count(*) from part)) + 1 as i from customer),
+near as (select a.u, a.i, sum(rating * w) / sum(w) as e from (
+  select a.u, a.i, k.rating, 1 / (1 + sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2 + (p.z - q.z) ** 2)) as w
+  from asked a join kept k on k.u = a.u and k.i <> a.i join raw p on p.i = a.i join raw q on q.i = k.i) a group by 1, 2)
+select a.u as "user", a.i as item, round((s + ax * x + ay * y + az * z) / (n + bx * x + by_ * y + bz * z), 6) as estimate, round(near.e, 6) as by_distance
+from asked a left join prof using (u) left join unit using (i) left join near on near.u = a.u and near.i = a.i""")
+def estimate_pairs(spark, sf):
+    """Estimates for given pairs, also unknown ones: by cosine, and by a similarity that falls with distance."""
+    parts = table(spark, sf, "part").count()
+    c = F.col("c_custkey")
+    asked = table(spark, sf, "customer").select(c.alias("user"), ((c * 37) % (2 * parts) + 1).alias("item"))
+    ratings, vectors = materialize(part_ratings(spark, sf)), given_vectors(spark, sf)
+    near = estimate_by(asked, ratings, vectors, lambda x, y: 1 / (1 + np.sqrt(((x - y) ** 2).sum(axis=1))))
+    cosine = estimate_unrated(asked, ratings, vectors)
+    both = cosine.join(near.withColumnRenamed("estimate", "by_distance"), ["user", "item"])
+    return both.select("user", "item", F.round("estimate", 6).alias("estimate"), F.round("by_distance", 6).alias("by_distance"))
 
 
 def scaled_customers(spark, sf):

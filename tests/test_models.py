@@ -115,22 +115,100 @@ def test_recommend_equals_brute_force(spark, sim, per_block):
         assert np.allclose(found.get(user, []), [e for _, e in items], atol=1e-6)
 
 
-def test_subspace_rounds_agree_with_exact_vectors(spark):
-    rnd = np.random.default_rng(4)
-    m = np.rint(np.abs(rnd.normal(size=(40, 2)) @ rnd.normal(size=(2, 30)) * 3) + rnd.random((40, 30)))
+def rank_two(seed=4):
+    rnd = np.random.default_rng(seed)
+    return np.rint(np.abs(rnd.normal(size=(40, 2)) @ rnd.normal(size=(2, 30)) * 3) + rnd.random((40, 30)))
+
+
+@pytest.mark.parametrize("block", [3, 8, 30])
+def test_steps_of_any_width_agree_with_exact_vectors(spark, block):
+    m = rank_two()
     k, v, _ = brute_recommend(m, 0.9, 1, "cosine")
-    got = {r["item"]: np.array(r["v"]) for r in R.item_factors(long_ratings(spark, m), 0.9, exact_items=5).collect()}
+    got = {r["item"]: np.array(r["v"]) for r in R.item_factors(long_ratings(spark, m), 0.9, block=block).collect()}
     mine = np.array([got[i] for i in range(30)])
     assert mine.shape[1] == k
     assert np.allclose(mine @ mine.T, v @ v.T, atol=1e-5)
-    with pytest.raises(ValueError, match="max_rank"):
-        R.item_factors(long_ratings(spark, m), 1.0, max_rank=16, exact_items=5)
 
 
-def test_rounds_that_do_not_settle_are_an_error(spark):
-    m = np.random.default_rng(9).random((30, 24))
-    with pytest.raises(RuntimeError, match="rounds"):
-        R.item_factors(long_ratings(spark, m), 0.5, exact_items=5, rounds=2)
+def test_rank_and_passes_bound_the_work(spark):
+    m = rank_two()
+    few = R.item_factors(long_ratings(spark, m), 1.0, max_rank=2, block=4)
+    _, s, vt = np.linalg.svd(m)
+    got = {r["item"]: np.array(r["v"]) for r in few.collect()}
+    mine = np.array([got[i] for i in range(30)])
+    assert np.allclose(mine @ mine.T, vt[:2].T @ vt[:2], atol=1e-6)
+    whole, kept = R.kept_energy(long_ratings(spark, m), few)
+    assert whole == pytest.approx((m**2).sum()) and kept == pytest.approx((s[:2] ** 2).sum(), rel=1e-9)
+    with pytest.raises(ValueError, match="passes"):
+        R.item_factors(long_ratings(spark, m), 0.999999, block=4, passes=1)
+    rough = R.item_factors(long_ratings(spark, m), 0.5, block=4, passes=2)
+    assert R.kept_energy(long_ratings(spark, m), rough)[1] >= 0.5 * whole
+    none = long_ratings(spark, m).limit(0)
+    assert R.item_factors(none).count() == 0 and R.recommend(none, 2, factors=few).count() == 0
+
+
+def test_fewer_dimensions_than_items(spark):
+    m = np.outer(np.arange(1, 7), np.arange(1, 13)).astype(float)
+    got = R.item_factors(long_ratings(spark, m), 1.0, block=5).collect()
+    assert all(len(r["v"]) == 1 for r in got)
+    assert np.allclose(sorted(r["v"][0] for r in got), np.arange(1, 13) / np.linalg.norm(np.arange(1, 13)))
+
+
+def clustered(spark, users=60, items=400, width=6):
+    rnd = np.random.default_rng(8)
+    centres = rnd.normal(size=(8, width))
+    v = centres[np.arange(items) % 8] + 0.05 * rnd.normal(size=(items, width))
+    factors = spark.createDataFrame([(i, v[i].tolist()) for i in range(items)], "item int, v array<double>")
+    rows = [(u, int(i), float(1 + (u * 3 + i * 7) % 5)) for u in range(users) for i in rnd.choice(items, 3 + u % 5, replace=False)]
+    return v, factors, rows, spark.createDataFrame(rows, "user int, item int, rating double")
+
+
+def all_pairs(v, rows, n):
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    out = []
+    for u in sorted({r[0] for r in rows}):
+        mine = {i: r for w, i, r in rows if w == u}
+        w = 0.5 + 0.5 * unit @ unit[list(mine)].T
+        est = np.round(w @ np.array(list(mine.values())) / w.sum(axis=1), 9)
+        best = sorted(((-e, i) for i, e in enumerate(est) if i not in mine))[:n]
+        out += [(u, i, -e, k + 1) for k, (e, i) in enumerate(best)]
+    return out
+
+
+def test_search_skips_blocks_and_equals_all_pairs(spark):
+    v, factors, rows, ratings = clustered(spark)
+    got = R.recommend(ratings, 4, factors=factors, items_per_block=10, users_per_chunk=25)
+    want = all_pairs(v, rows, 4)
+    found = sorted(map(tuple, got.select("user", "item", "estimate", "rank").collect()), key=lambda r: (r[0], r[3]))
+    assert [r[:2] + r[3:] for r in found] == [r[:2] + r[3:] for r in want]
+    assert np.allclose([r[2] for r in found], [r[2] for r in want], atol=2e-9)
+    unit = R._similarity_vectors(factors, "cosine")
+    blocks = R.materialize(R.item_blocks(unit, 6, 10))
+    sizes = [r["n"] for r in blocks.groupBy("_block").agg(F.count(F.lit(1)).alias("n")).collect()]
+    centres = R._centres(blocks, 6)
+    home = R._best_blocks(R.user_profiles(ratings, unit, 6), centres)
+    at = got.where("rank = 4").select("user", F.col("estimate").alias("_t"))
+    asked = R._open_blocks(home.join(at, "user").select(*home.columns, "_t"), centres).count()
+    assert sum(sizes) == 400 and asked < 0.5 * 60 * len(sizes)
+
+
+def test_unknown_pairs_stay_and_any_similarity_can_be_used(spark):
+    v, factors, rows, ratings = clustered(spark, 5, 30)
+    asked = [(0, 1), (0, 999), (77, 1), (1, 2), (1, 2), (None, 3)]
+    pairs = spark.createDataFrame([(*p, "x") for p in asked], "user int, item int, estimate string")
+    got = [(r["user"], r["item"], r["estimate"]) for r in R.estimate_unrated(pairs, ratings, factors).collect()]
+    assert sorted(r[:2] for r in got if r[0] is not None) == sorted(p for p in asked if p[0] is not None) and len(got) == 6
+    assert all((e is None) == (u in (77, None) or i == 999) for u, i, e in got)
+
+    def near(x, y):
+        return 1 / (1 + np.linalg.norm(x - y, axis=1))
+
+    by = {(r["user"], r["item"]): r["estimate"] for r in R.estimate_by(pairs, ratings, factors, near).collect()}
+    for u, i in ((0, 1), (1, 2)):
+        mine = [(j, r) for w, j, r in rows if w == u and j != i]
+        s = near(v[[i] * len(mine)], v[[j for j, _ in mine]])
+        assert by[u, i] == pytest.approx((s * [r for _, r in mine]).sum() / s.sum())
+    assert by[0, 999] is None and by[77, 1] is None
 
 
 def test_zeros_are_no_ratings_and_unknown_pairs_have_no_estimate(spark):
