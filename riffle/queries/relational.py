@@ -9,6 +9,7 @@ from riffle.functions import text as X
 from riffle.operators import aggregates as A
 from riffle.operators import joins as J
 from riffle.operators import ordering as O
+from riffle.operators.sampling import FACTOR, PRIME, ROUNDS, group_sample, round_keys, shuffled, split_parts
 from riffle.plans import boost
 from riffle.plans import routes as R
 from riffle.plans.ratings import build_ratings
@@ -340,10 +341,45 @@ def fill_missing(spark, sf):
     )
 
 
-@query("select doc_id, quality, toxic from labels")
+def _places_sql(table_: str, key: str, seed: int) -> str:
+    """Places of ``table_``'s rows by ``riffle.operators.sampling``, one round after the other."""
+    keys = ", ".join(map(str, round_keys(seed)))
+    return f"""with recursive keys as (select unnest([{keys}]) as k, unnest(range(1, {ROUNDS} + 1)) as step),
+n as (select count(*) as n from {table_}),
+turns as (
+  select {key} as id, row_number() over (order by {key}) - 1 as x, 0 as step from {table_}
+  union all
+  select id, case when y * y % {PRIME} * 2 < {PRIME} then other else x end, step
+  from (select *, (greatest(x, other) % {PRIME} + k) % {PRIME} * {FACTOR} % {PRIME} as y from
+  (select id, x, k, keys.step as step, ((k - x) % n + n) % n as other from turns join keys on keys.step = turns.step + 1, n))),
+places as (select id, x as place from turns where step = {ROUNDS})"""
+
+
+@query(f"""{_places_sql('orders', 'o_orderkey', 5)} select id as o_orderkey, place from places""")
+def shuffled_orders(spark, sf):
+    return shuffled(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 5)
+
+
+@query(f"""{_places_sql('labels', 'doc_id', 11)}, m as (select count(*) as m from labels)
+select doc_id, quality, toxic, place, case when place < cast(floor(m * 0.8 + 0.5) as bigint) then 0
+  when place < cast(floor(m * 0.9 + 0.5) as bigint) then 1 else -1 end as part from labels join places on id = doc_id, m""")
+def train_test_parts(spark, sf):
+    """Part and place of every labelled row: 80 and 10 percent, the rest outside."""
+    return split_parts(table(spark, sf, "labels"), ["doc_id"], [0.8, 0.1], 11)
+
+
+@query("""select source, doc_id, n_chars from (select *, row_number() over (partition by source order by md5('3:' || doc_id), doc_id) as r from documents) where r <= 25""")
+def source_samples(spark, sf):
+    """Twenty-five documents of each source."""
+    return group_sample(table(spark, sf, "documents").select("source", "doc_id", "n_chars"), ["source"], "doc_id", 25, 3)
+
+
+@query("select doc_id, quality, toxic, count(*) over () as n from labels")
 def split_union(spark, sf):
-    first, rest = A.hash_split(table(spark, sf, "labels"), ["doc_id"], 0.3)
-    return first.unionByName(rest)
+    """Both parts of a hash split together, with the sum of their sizes: no row in both, none in neither."""
+    parts = A.hash_split(table(spark, sf, "labels"), ["doc_id"], 0.3)
+    n = sum(p.count() for p in parts)
+    return parts[0].unionByName(parts[1]).withColumn("n", F.lit(n).cast("long"))
 
 
 @query(r"""select doc_id, line from (select doc_id, trim(unnest(string_split(text, chr(10)))) as line from documents)
