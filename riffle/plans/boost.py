@@ -1,8 +1,14 @@
-"""Gradient-boosted trees on wide mixed features."""
+"""Gradient-boosted trees on wide mixed features.
+
+Categories with more values than the trees have bins go in as ordered target statistics: a row's code is the
+smoothed mean label of the rows with the same category that come before it in a repeatable random order.  So no row's code
+has seen its own label.  Rows scored later get the mean over all training rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -11,7 +17,67 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riffle.session import shared_folder
+from riffle.operators.aggregates import auc
+from riffle.operators.ordering import running_total
+from riffle.session import materialize, shared_folder
+
+
+@dataclass(frozen=True)
+class TargetCodes:
+    """Smoothed mean label of every value of some columns: rows (col, value, code), and the code of a value never seen."""
+
+    table: DataFrame
+    columns: tuple[str, ...]
+    prior: float
+
+
+@dataclass(frozen=True)
+class Boosted:
+    """Trees, and the codes of the columns too wide for them."""
+
+    trees: PipelineModel
+    codes: TargetCodes | None
+
+
+def _value(c: str):
+    """Category as text; a missing one is a value of its own."""
+    return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("?"))
+
+
+def ordered_target_codes(
+    df: DataFrame, columns: Sequence[str], label: str, order: Sequence[str], weight: float = 1.0, seed: int = 1
+) -> tuple[DataFrame, TargetCodes]:
+    """``df`` with a column ``<c>_code`` for each of ``columns``, and what codes later rows.
+
+    The code is (sum of the labels before + weight * prior) / (rows before + weight) among rows of the same value, where the
+    prior is the mean label of all.  ``order`` names columns that tell rows apart; their md5 after the seed is the order.
+    Running sums are made over ranges of (value, order), so a value of a third of all rows lies in many tasks.
+    """
+    mark = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order]))
+    out = materialize(df.withColumn("_mark", mark))
+    prior = float(out.agg(F.avg(label)).first()[0] or 0.0)
+    tables = []
+    for c in columns:
+        rows = out.withColumn("_value", _value(c)).withColumn("_one", F.lit(1).cast("long")).withColumn("_y", F.col(label).cast("long"))
+        summed = materialize(running_total(rows, ["_value", "_mark"], {}, before={"_n": "_one", "_s": "_y"}))
+        # a value's rows lie side by side, and sums never fall: the smallest is that of all values before
+        first = materialize(summed.groupBy("_value").agg(F.min("_n").alias("_n0"), F.min("_s").alias("_s0"), F.sum("_one").alias("_all"), F.sum("_y").alias("_hits")))
+        code = (F.col("_s") - F.col("_s0") + weight * prior) / (F.col("_n") - F.col("_n0") + weight)
+        out = materialize(summed.join(first, "_value").select(*out.columns, code.alias(f"{c}_code")))
+        tables.append(first.select(F.lit(c).alias("col"), F.col("_value").alias("value"), ((F.col("_hits") + weight * prior) / (F.col("_all") + weight)).alias("code")))
+    table = tables[0]
+    for t in tables[1:]:
+        table = table.unionByName(t)
+    return out.drop("_mark"), TargetCodes(materialize(table), tuple(columns), prior)
+
+
+def coded(df: DataFrame, codes: TargetCodes) -> DataFrame:
+    """``df`` with the codes of its values; values never seen in training get the prior."""
+    for c in codes.columns:
+        own = codes.table.where(F.col("col") == c).select(F.col("value").alias("_value"), F.col("code").alias(f"{c}_code"))
+        df = df.withColumn("_value", _value(c)).join(own, "_value", "left").drop("_value")
+        df = df.withColumn(f"{c}_code", F.coalesce(f"{c}_code", F.lit(codes.prior)))
+    return df
 
 
 def fit_gbt(
@@ -27,18 +93,21 @@ def fit_gbt(
     bins: int = 256,
     seed: int = 1,
     missing: float = -1.0,
-) -> PipelineModel:
+    order: Sequence[str] = (),
+) -> Boosted:
     """Boosted trees for a 0/1 label.
 
-    A categorical column needs fewer values than ``bins``; ids belong in as counts or
-    affinities, and an error names the column that does not fit.  Missing numbers become
-    ``missing``, missing categories a value of their own.
+    Missing numbers become ``missing``, missing categories a value of their own.  A categorical column with more values than
+    fit ``bins`` becomes a number by ordered target statistics; ``order`` names columns that tell rows apart (default: all).
     """
+    codes = None
     if categorical:
-        sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first().asDict()
-        wide = [c for c, n in sizes.items() if n > bins - 2]
+        sizes = df.agg(*[F.count_distinct(c).alias(c) for c in categorical]).first().asDict()
+        wide = [c for c in categorical if sizes[c] > bins - 2]
         if wide:
-            raise ValueError(f"too many values for {bins} bins: {', '.join(wide)}")
+            df, codes = ordered_target_codes(df, wide, label, order or df.columns, seed=seed)
+            numeric = [*numeric, *[f"{c}_code" for c in wide]]
+            categorical = [c for c in categorical if c not in wide]
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_folder(df.sparkSession))
@@ -55,15 +124,20 @@ def fit_gbt(
         labelCol=label, featuresCol="_features", maxIter=rounds, stepSize=rate, maxDepth=depth,
         subsamplingRate=row_share, featureSubsetStrategy=str(feature_share), maxBins=bins, seed=seed,
     )
-    return Pipeline(stages=[*index, fill, gather, trees]).fit(df)
+    return Boosted(Pipeline(stages=[*index, fill, gather, trees]).fit(df), codes)
 
 
-def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
+def score(model: Boosted, df: DataFrame, out: str = "score") -> DataFrame:
     """Probability of label 1 next to the columns of ``df``."""
-    scored = model.transform(df)
+    scored = model.trees.transform(coded(df, model.codes) if model.codes else df)
     return scored.select(*df.columns, vector_to_array("probability")[1].alias(out))
 
 
+def holdout_auc(model: Boosted, df: DataFrame, label: str) -> float | None:
+    """Area under the curve over rows the model has not seen; null if they are all of one class."""
+    return auc(score(model, df, "_score"), label, "_score").first()[0]
+
+
 def best_per_id(scored: DataFrame, key: str, value: str) -> DataFrame:
     """Largest score per id, since tag rows repeat an id."""
     return scored.groupBy(key).agg(F.max(value).alias(value))

@@ -389,6 +389,44 @@ def ranking_metrics(spark, sf):
     )
 
 
+TRAIN_LINES = """f as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when l_returnflag = 'R' then 1 else 0 end as y,
+  md5(concat_ws('|', 1, l_orderkey, l_linenumber, l_partkey, l_suppkey)) as mark from lineitem where l_linestatus = 'F'),
+p as (select avg(y) as prior from f)"""
+
+
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def flagged_lines(spark, sf):
+    """Finished and open lines with whether they were returned."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus", F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y")
+    )
+    return tuple(part.drop("l_linestatus") for part in S.split(lines))
+
+
+def _code_sql(c: str) -> str:
+    before = f"over (partition by {c} order by mark rows between unbounded preceding and 1 preceding)"
+    return f"round((coalesce(sum(y) {before}, 0) + prior) / (count(*) {before} + 1), 9) as {c}_code"
+
+
+@query(f"with {TRAIN_LINES} select l_orderkey, l_linenumber, {_code_sql('l_partkey')}, {_code_sql('l_suppkey')} from f, p")
+def ordered_codes(spark, sf):
+    """Target statistics of parts and suppliers that no row's own label is in."""
+    train, _ = flagged_lines(spark, sf)
+    out, _ = B.ordered_target_codes(train, ["l_partkey", "l_suppkey"], "y", LINE_KEY)
+    return out.select("l_orderkey", "l_linenumber", *[F.round(f"{c}_code", 9).alias(f"{c}_code") for c in ("l_partkey", "l_suppkey")])
+
+
+@query(f"""with {TRAIN_LINES}, c as (select l_partkey, (sum(y) + any_value(prior)) / (count(*) + 1) as code from f, p group by 1)
+select l_orderkey, l_linenumber, round(coalesce(code, prior), 9) as code from lineitem left join c using (l_partkey), p where l_linestatus = 'O'""")
+def later_codes(spark, sf):
+    """The codes that open lines get from all finished ones."""
+    train, test = flagged_lines(spark, sf)
+    _, codes = B.ordered_target_codes(train, ["l_partkey"], "y", LINE_KEY)
+    return B.coded(test, codes).select("l_orderkey", "l_linenumber", F.round("l_partkey_code", 9).alias("code"))
+
+
 @query()
 def gbt_scores(spark, sf):
     """Best score per open line from trees on the derived columns."""

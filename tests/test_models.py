@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -336,8 +337,35 @@ def test_boosted_trees_and_best_per_id(spark):
     scored = B.score(model, df)
     assert A.auc(scored, "y", "score").first()["auc"] > 0.95
     assert B.best_per_id(scored, "id", "score").count() == 200
-    with pytest.raises(ValueError, match="too many values"):
-        B.fit_gbt(df, "y", ["x"], ["id"], bins=32)
+
+
+def test_wide_categories_are_coded_without_their_own_label(spark):
+    rnd = random.Random(3)
+    odds = {i: rnd.random() for i in range(300)}
+    rows = [(k, f"v{i}" if i else None, int(rnd.random() < odds[i])) for k in range(4000) for i in [rnd.randrange(300)]]
+    df = spark.createDataFrame(rows, "id int, c string, y int")
+    out, codes = B.ordered_target_codes(df.repartition(5), ["c"], "y", ["id"], weight=2.0, seed=4)
+    prior = sum(r[2] for r in rows) / len(rows)
+    seen, want = {}, {}
+    for k, c, y in sorted(rows, key=lambda r: hashlib.md5(f"4|{r[0]}".encode()).hexdigest()):
+        n, s = seen.get(c, (0, 0))
+        want[k] = (s + 2 * prior) / (n + 2)
+        seen[c] = (n + 1, s + y)
+    assert {r["id"]: pytest.approx(r["c_code"]) for r in out.collect()} == want
+    later = B.coded(spark.createDataFrame([("v1",), ("never",), (None,)], "c string"), codes)
+    got = {r["c"]: r["c_code"] for r in later.collect()}
+    means = {c: (s + 2 * prior) / (n + 2) for c, (n, s) in seen.items()}
+    assert got == {"v1": pytest.approx(means["v1"]), "never": pytest.approx(prior), None: pytest.approx(means[None])}
+
+
+def test_trees_learn_from_a_wide_category_and_are_judged_on_other_rows(spark):
+    rnd = random.Random(5)
+    rows = [(k, i, int(rnd.random() < (0.9 if i % 2 else 0.1))) for k in range(3000) for i in [rnd.randrange(60)]]
+    df = spark.createDataFrame(rows, "id int, c int, y int")
+    train, test = df.where("id % 3 > 0"), df.where("id % 3 = 0")
+    model = B.fit_gbt(train, "y", [], ["c"], rounds=3, depth=3, bins=32, order=["id"])
+    assert model.codes.columns == ("c",) and B.holdout_auc(model, test, "y") > 0.8
+    assert B.holdout_auc(model, test.where("y = 1"), "y") is None
 
 
 def test_embeddings(spark):
