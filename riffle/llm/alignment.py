@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riffle.llm.bpe import SPLIT, Codec, byte_characters
+from riffle.llm.bpe import SPLIT, Codec, _printable_bytes
 from riffle.llm.common import binary_list, give_back, materialize, pieces, space_cuts, stretches, table, text_bytes
 from riffle.llm.registry import query
 
@@ -121,7 +121,7 @@ class Pair:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         strings = Codec(a_json).strings
         self._split = regex.compile(SPLIT)
-        self._written = {b: c for c, b in byte_characters().items()}
+        self._written = {b: c for c, b in _printable_bytes().items()}
         self.a_bytes = [strings.get(i, b"") for i in range(max(strings) + 1)]
         names = ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in names]

@@ -16,7 +16,7 @@ by links form a group that its smallest id stands for.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +67,8 @@ def _sets(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(docs: DataFrame, k: int, permutations: int = PERMUTATIONS, band_rows: int = BAND_ROWS) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, bands) of each text: set size, 128-bit digest of the set, band keys."""
+    """(doc_id, n_shingles, d1, d2, bands) of each text: set size, 128-bit digest of the set, band keys; columns after the text follow."""
+    more = docs.schema.fields[2:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -78,11 +79,12 @@ def sketch(docs: DataFrame, k: int, permutations: int = PERMUTATIONS, band_rows:
             flat = pa.array(keys[n > 0].ravel().view(np.int64))
             starts = np.concatenate([[0], np.cumsum((n > 0) * keys.shape[1])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(n), *map(pa.array, digests), pa.ListArray.from_arrays(pa.array(starts), flat)],
-                names=["doc_id", "n_shingles", "d1", "d2", "bands"],
+                [batch.column(0).cast(pa.int64()), pa.array(n), *map(pa.array, digests), pa.ListArray.from_arrays(pa.array(starts), flat), *batch.columns[2:]],
+                names=["doc_id", "n_shingles", "d1", "d2", "bands", *(f.name for f in more)],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    kinds = ["doc_id long, n_shingles long, d1 long, d2 long, bands array<long>", *(f"{f.name} {f.dataType.simpleString()}" for f in more)]
+    return docs.mapInArrow(run, ", ".join(kinds))
 
 
 def _digests(hashes: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
@@ -176,17 +178,19 @@ def _across(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, block: int = BLOCK, carry: Sequence[str] = ()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id long, text string; other columns are not read).
 
     Words are cut at ASCII white space, A-Z lower-cased; shingles are ``k`` words.  Two texts are
     linked with 100 * intersection >= percent * union of their distinct shingles.  Null, empty and
     blank texts have no shingles, are linked with nothing and kept.  A row without an id is kept,
     its component is null, and it stands for no group.  Rows that repeat an id are looked at one by one
-    and kept if the id is its group's smallest.  An empty table gives an empty result.
+    and kept if the id is its group's smallest.  An empty table gives an empty result.  Columns of ``carry``
+    come back with their rows.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seen = materialize(sketch(docs, k))
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    docs = whole.select("doc_id", "text")
+    seen = materialize(sketch(whole, k))
     # a class is known by d1; its rows are told from other sets by d2 too
     named = seen.where("doc_id is not null and n_shingles > 0")
     classes = materialize(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
@@ -205,7 +209,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, block: int =
     by_class = placed.join(first, "component").select("d1", "d2", "component_id", F.lit(True).alias("full"))
     linked = seen.drop("bands").withColumn("full", F.col("n_shingles") > 0).join(by_class, ["d1", "d2", "full"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return linked.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return linked.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), *carry)
 
 
 def _clusters(docs: DataFrame, classes: DataFrame, ties: DataFrame, k: int, block: int) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline as cp
+from pyspark.sql import functions as F
 from test_decontaminate import fold, least_edits
 from test_linededup import brute as plain_lines
 from test_minhash import brute as plain_groups
@@ -51,6 +52,28 @@ def test_stages_against_plain_versions(spark, tmp_path):
     assert {(x.doc_id, x.n_tokens) for x in ran.collect()} == {(x.doc_id, x.n_tokens) for x in last}
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = [x.text for x in docs.where("length(text) between 300 and 900").orderBy("doc_id").limit(40).collect()]
+    items = spark.createDataFrame([(1, texts[30])], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(i, texts[i], "own") for i in range(10)]
+    rows += [(3, texts[1], "copy of 1"), (3, texts[20], "other"), (3, texts[20], "other"), (4, texts[30], "leak"), (None, texts[21], "none"), (None, texts[30], "leak")]
+    rows += [(11, None, "null"), (12, "", "empty")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score string").withColumn("rejected", F.col("score")).withColumn("n_lines", F.lit("x"))
+    df = df.withColumn("lang", F.lit("fr")).withColumn("source", F.lit("a")).withColumn("n_chars", F.length("text").cast("long"))
+    once = cp.duplicates(spark, df, str(tmp_path))
+    assert once.columns == df.columns
+    assert sorted(map(repr, once.select("doc_id", "text", "score").collect())) == sorted(map(repr, (r for r in df.select("doc_id", "text", "score").collect() if r.score != "copy of 1")))
+    clean = cp.benchmark(spark, df, str(tmp_path))
+    assert sorted(r.score for r in clean.collect()) == sorted(r[2] for r in rows if r[2] != "leak")
+    cut = cp.lines(spark, df, str(tmp_path))
+    assert cut.columns == df.columns and {r.n_lines for r in cut.collect()} == {"x"} and cut.count() == len(rows)
+    big = docs.withColumn("score", F.lit("mine")).withColumn("rejected", F.lit("no")).withColumn("lang_pred", F.lit(7))
+    named = cp.language(spark, big, str(tmp_path))
+    assert named.columns == big.columns and {(r.score, r.rejected, r.lang_pred) for r in named.select("score", "rejected", "lang_pred").distinct().collect()} == {("mine", "no", 7)}
+
+
 def test_empty_tables(spark, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
