@@ -105,6 +105,32 @@ def running_total(
     )
 
 
+def last_before(points: DataFrame, marks: DataFrame, point: str, mark: str, out: str = "found") -> DataFrame:
+    """``points`` with ``out``, a struct of the last row of ``marks`` whose ``mark`` is not above ``point``; null if none.
+
+    Both sides are sorted together and cut into ranges.  Within a range the last mark is carried along, and
+    the last mark of all earlier ranges is carried in, one row per range.  The cost is that of one sort of both
+    tables, wherever the points lie: many points between two marks are cut into several ranges.  Points and
+    marks that are null meet nothing; of equal marks any one is taken.
+    """
+    names = [F.col(c).alias(f"m{n}") for n, c in enumerate(marks.columns)]
+    held = F.struct(*names)
+    left = points.select(F.col(point).cast("double").alias("_at"), F.lit(1).alias("_kind"), F.struct(*points.columns).alias("_p"))
+    right = marks.filter(F.col(mark).isNotNull()).select(F.col(mark).cast("double").alias("_at"), F.lit(0).alias("_kind"), held.alias("_m"))
+    both = left.unionByName(right, allowMissingColumns=True)
+    ranged = sorted_ranges(both, ["_at", "_kind"])
+    ends = ranged.groupBy(_RANGE).agg(F.max_by("_m", F.when(F.col("_m").isNotNull(), F.col(_ROW))).alias("_m"))
+    earlier = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.broadcast(ends.select(_RANGE, F.last("_m", ignorenulls=True).over(earlier).alias("_carried")))
+    upto = Window.partitionBy(_RANGE).orderBy(_ROW).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = ranged.withColumn("_m", F.last("_m", ignorenulls=True).over(upto)).filter(F.col("_kind") == 1).join(carried, _RANGE)
+    last = F.when(F.col("_at").isNotNull(), F.coalesce("_m", "_carried"))
+    return met.withColumn("_m", last).select(
+        *[F.col("_p")[c].alias(c) for c in points.columns],
+        F.when(F.col("_m").isNotNull(), F.struct(*[F.col("_m")[f"m{n}"].alias(c) for n, c in enumerate(marks.columns)])).alias(out),
+    )
+
+
 def positions(
     df: DataFrame, key: str, order: Sequence[str | Column], out: str = "pos", rows_per_split: int | None = None
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riffle.operators.ordering import global_index, running_total
+from riffle.operators.ordering import global_index, last_before, running_total
 from riffle.session import materialize
 
 
@@ -43,23 +43,19 @@ def elite(scored: DataFrame, k: int, score: str = "fitness", tie: str = "route")
     return scored.orderBy(F.col(score).desc(), F.col(tie)).limit(k)
 
 
-def roulette_sample(
-    df: DataFrame, weight: str, order: list, picks: DataFrame, pick: str = "pick", cells: int = 1 << 20
-) -> DataFrame:
+def roulette_sample(df: DataFrame, weight: str, order: list, picks: DataFrame, pick: str = "pick") -> DataFrame:
     """For every pick in [0, 1) the row whose share interval [start, end) holds it.
 
-    The unit interval is cut into ``cells``.  A row is listed in each cell it
-    touches, which is at most rows + cells entries however the weights are spread,
-    and picks meet rows by an equi join on the cell.  Rows may be drawn repeatedly.
+    The intervals follow each other, so the row is the last one that starts at or before the pick; both
+    sides are sorted together once (``ordering.last_before``), whatever their sizes.  Rows may be drawn
+    repeatedly; rows without a positive weight never are.
     """
     shares = materialize(running_total(df, order, {"_end": weight}, {"_begin": weight}))
     whole = shares.agg(F.max("_end")).scalar()
     spans = shares.withColumn("_hi", F.col("_end") / whole).withColumn("_lo", F.col("_begin") / whole)
-    low, high = F.floor(F.col("_lo") * cells), F.floor(F.col("_hi") * cells)
-    listed = spans.filter(F.col(weight) > 0).withColumn("_cell", F.explode(F.sequence(low, high)))
-    wanted = picks.withColumn("_cell", F.floor(F.col(pick) * cells))
-    hit = (F.col(pick) >= F.col("_lo")) & (F.col(pick) < F.col("_hi"))
-    return wanted.join(listed, "_cell").filter(hit).select(*picks.columns, *df.columns)
+    drawn = last_before(picks, spans.filter(F.col(weight) > 0), pick, "_lo", "_row_drawn")
+    held = F.col("_row_drawn")
+    return drawn.filter(F.col(pick) < held["_hi"]).select(*picks.columns, *[held[c].alias(c) for c in df.columns])
 
 
 def random_picks(spark, n: int, seed: int) -> DataFrame:

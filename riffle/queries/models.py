@@ -16,6 +16,7 @@ from riffle.plans import linear as L
 from riffle.plans.ratings import build_ratings
 from riffle.plans.recommend import estimate_by, estimate_unrated, item_factors, kept_energy, recommend
 from riffle.plans.sparse import MEMBER_ORDER, SONG_ORDER, export_affinity_features
+from riffle.plans.sweeps import sweep
 from riffle.queries import standin as S
 from riffle.queries.registry import query, table
 from riffle.queries.relational import PAIR_COUNTS, log_rows
@@ -174,25 +175,92 @@ def factor_epoch_forms(spark, sf):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+_TEST_PART = "(u * 31 + i * 17) % 10 = 0"
+
+
 def _two_parts(spark, sf):
     ratings = materialize(build_ratings([log_rows(spark, sf)], "user", "item", encode=False))
-    test, train = A.hash_split(ratings, ["user", "item"], 0.1)
-    return ratings, train, test
+    held = (F.col("user") * 31 + F.col("item") * 17) % 10 == 0
+    return ratings, ratings.filter(~held), ratings.filter(held)
 
 
-@query()
+def _walk_sql(name: str, k: int, steps: int, beta: float, form: str = "plain", clip: float | None = None) -> tuple[list[str], list[str]]:
+    """CTEs of ``steps`` full-batch epochs of one cell on ``tr`` (u, i, r, su), and selects of its figures after each."""
+    sh, out = ("0.0", "0.0") if form == "plain" else (_SHIFT[form], _OUTSIDE[form])
+    pull = "0.0" if form == "plain" else f"{_BIAS_PULL[form]} - {beta} * si".replace("(q1 + q2 + q3)", "(" + " + ".join(f"q{n}" for n in range(1, k + 1)) + ")")
+    est = " + ".join(f"(p{n} + {sh}) * q{n}" for n in range(1, k + 1)) + f" + {out}"
+    names = range(1, k + 1)
+
+    def step(x: str) -> str:
+        x = f"0.0002 * sum({x})"
+        return x if clip is None else f"greatest(-{clip}, least({clip}, {x}))"
+
+    parts = [
+        f"{name}p0 as (select u, {', '.join(f'{_start("u", n)} as p{n}' for n in names)} from tr group by u)",
+        f"{name}q0 as (select i, {_start('i', k + 1)} as si, {', '.join(f'{_start("i", n)} as q{n}' for n in names)} from tr group by i)",
+    ]
+    for t in range(steps):
+        parts += [
+            f"{name}e{t} as (select *, r - ({est}) as e from tr join {name}p{t} using (u) join {name}q{t} using (i))",
+            f"{name}l{t} as (select sum(e * e + {beta} / 2 * ({' + '.join(f'p{n} * p{n} + q{n} * q{n}' for n in names)})) as loss from {name}e{t})",
+            f"{name}p{t + 1} as (select u, {', '.join(f'any_value(p{n}) + ' + step(f'2 * e * q{n} - {beta} * p{n}') + f' as p{n}' for n in names)} from {name}e{t} group by u)",
+            f"{name}q{t + 1} as (select i, any_value(si) + {step(pull)} as si, "
+            + ", ".join(f"any_value(q{n}) + {step(f'2 * e * (p{n} + {sh}) - {beta} * q{n}')} as q{n}" for n in names) + f" from {name}e{t} group by i)",
+        ]
+    figures = [
+        f"{t} as epochs, round((select loss from {name}l0), 3) as first_loss, round((select loss from {name}l{t - 1}), 3) as last_loss, false as diverged, "
+        f"(select round(sqrt(avg((r - ({est})) * (r - ({est})))), 6) from te join {name}p{t} using (u) join {name}q{t} using (i)) as rmse, "
+        f"(select count(*) from te) - (select count(*) from te join {name}p{t} using (u) join {name}q{t} using (i) where su is not null) as cold"
+        for t in range(1, steps + 1)
+    ]
+    return parts, figures
+
+
+def _grid_sql(grid: list[dict]) -> str:
+    """Figures of all cells; cells that differ in steps alone share their CTEs."""
+    walks: dict[tuple, list[int]] = {}
+    for cell in grid:
+        walks.setdefault(tuple(sorted((k, v) for k, v in cell.items() if k != "steps")), []).append(cell["steps"])
+    parts, rows = [], []
+    for n, (settings, steps) in enumerate(walks.items()):
+        cell = dict(settings)
+        ctes, figures = _walk_sql(f"w{n}", cell["k"], max(steps), cell.get("beta", 0.002), cell.get("form", "plain"), cell.get("clip"))
+        parts += ctes
+        for s in steps:
+            text = ", ".join(f"{k}={v}" for k, v in sorted({**cell, "steps": s}.items()))
+            rows.append(f"select '{text}' as cell, {figures[s - 1]}")
+    return ",\n".join(parts) + "\n" + "\nunion all ".join(rows)
+
+
+def _rounded(cells):
+    return cells.withColumns({"first_loss": F.round("first_loss", 3), "last_loss": F.round("last_loss", 3), "rmse": F.round("rmse", 6)})
+
+
+FORM_GRID = [{"k": 3, "steps": s, "form": f, "clip": 1.0} for f in M.FORMS for s in (1, 3)]
+GRID = [{"k": k, "steps": s, "beta": b} for k in (3, 5, 8, 10) for s in (1, 2, 4) for b in (0.002, 0.05)]
+
+
+@query(f"""with {PAIR_COUNTS},
+sk as (select u, (count(*) + 1.0) / (avg(num) + 1) as x from pairs group by u),
+su as (select u, (x - (select min(x) from sk) + 1) / ((select max(x) from sk) - (select min(x) from sk) + 1) as su from sk),
+tr as (select u, i, rating as r, su from kept join su using (u) where not {_TEST_PART}),
+te as (select u, i, rating as r, su from kept left join su using (u) where {_TEST_PART}),
+{_grid_sql(FORM_GRID)}""")
 def factor_skill_forms(spark, sf):
-    """Held-out RMSE of every skill-aware form after a few epochs."""
-    ratings, train, test = _two_parts(spark, sf)
-    skill = materialize(A.user_skill(ratings, "user", "num"))
-    grid = [{"k": 3, "steps": 2, "form": f, "clip": 1.0} for f in M.FORMS]
-    return M.sweep(train, test, grid, skill=A.scale_unit(skill, "su"))
+    """Held-out error of every form after one and three epochs, all in one stacked fit."""
+    _, train, test = _two_parts(spark, sf)
+    skill = materialize(A.user_skill(A.interaction_counts(log_rows(spark, sf), "user", "item"), "user", "num", "smoothed"))
+    return _rounded(sweep(train, test, FORM_GRID, skill=skill, start=arithmetic_start))
 
 
-@query()
+@query(f"""with {PAIR_COUNTS},
+tr as (select u, i, rating as r, 0.0 as su from kept where not {_TEST_PART}),
+te as (select u, i, rating as r, 0.0 as su from kept where {_TEST_PART}),
+{_grid_sql(GRID)}""")
 def factor_sweep(spark, sf):
+    """Held-out error over ranks, steps and penalties, all in one stacked fit."""
     _, train, test = _two_parts(spark, sf)
-    return M.sweep(train, test, [{"k": k, "steps": s} for k in (3, 5) for s in (1, 2)])
+    return _rounded(sweep(train, test, GRID, start=arithmetic_start))
 
 
 def part_ratings(spark, sf):

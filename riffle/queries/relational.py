@@ -272,6 +272,20 @@ def roulette_sample(spark, sf):
     return out.select("c_custkey", "p_partkey")
 
 
+@query("""with c as (select o_orderkey, o_custkey, sum(o_totalprice) over (order by o_totalprice desc, o_orderkey rows unbounded preceding) as hi from orders),
+s as (select o_orderkey, o_custkey, lag(hi, 1, 0.0) over (order by hi) / (select max(hi) from c) as lo from c),
+p as (select l_orderkey, l_linenumber, l_partkey, ((l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31) % 1000003) / 1000003.0 as pick from lineitem)
+select p.l_orderkey, p.l_linenumber, p.l_partkey, s.o_orderkey as drawn, s.o_custkey as customer from p asof join s on p.pick >= s.lo""")
+def roulette_many_picks(spark, sf):
+    """One weighted draw of an order for every line: more picks than rows to draw from."""
+    lines = table(spark, sf, "lineitem")
+    number = (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 104729 + F.col("l_partkey") * 31) % 1000003
+    picks = lines.select("l_orderkey", "l_linenumber", "l_partkey", (number / 1000003.0).alias("pick"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    out = R.roulette_sample(orders, "o_totalprice", [F.col("o_totalprice").desc(), "o_orderkey"], picks)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.col("o_orderkey").alias("drawn"), F.col("o_custkey").alias("customer"))
+
+
 @query("""select user_id, event_id, value, rank from (select user_id, event_id, value,
 row_number() over (partition by user_id order by value desc, event_id) as rank from events) where rank <= 5""")
 def top_n_per_user(spark, sf):

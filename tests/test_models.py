@@ -14,6 +14,7 @@ from riffle.plans import linear as L
 from riffle.plans import recommend as R
 from riffle.plans import routes as T
 from riffle.plans.ratings import build_ratings
+from riffle.plans.sweeps import sweep
 
 RATINGS = np.array([[(u * 7 + i * 5 + u * i) % 6 if (u + 2 * i) % 3 else 0 for i in range(11)] for u in range(11)], dtype=float)
 
@@ -70,10 +71,32 @@ def test_divergence_is_reported(spark):
     assert model.diverged
 
 
-def test_sweep_has_a_row_per_cell(spark):
+def test_sweep_equals_single_fits(spark):
+    """Padded, stacked and salted cells of every form, ends at different epochs, shared trajectories."""
     r = long_ratings(spark)
-    out = M.sweep(r, r, [{"k": 2, "steps": 1}, {"k": 3, "steps": 2}]).collect()
-    assert [r["epochs"] for r in out] == [1, 2]
+    train, test = r.filter("(user + item) % 4 <> 0"), r.filter("(user + item) % 4 = 0")
+    test = test.unionByName(spark.createDataFrame([(0, 999, 3.0), (None, 1, 2.0)], test.schema))
+    skill = spark.createDataFrame([(i, (i + 1) / 11) for i in range(11)], "user int, su double")
+    grid = [{"k": 2 + n % 3, "steps": s, "alpha": 0.01, "form": f} for n, f in enumerate(M.FORMS) for s in (0, 3)]
+    grid += [
+        {"k": 2, "steps": 5, "alpha": 50.0}, {"k": 2, "steps": 1, "alpha": 50.0}, {"k": 2, "steps": 20, "stop_below": 1e9},
+        {"k": 4, "steps": 2, "alpha": 0.5, "per_rating": True, "clip": 0.01, "beta_bias": 0.3, "form": "sum"}, {"k": 2, "steps": 3, "alpha": 0.01},
+    ]
+    for rows_per_split in (3, 5_000_000):
+        got = sweep(train, test, grid, skill=skill, start=start, rows_per_split=rows_per_split).collect()
+        assert len(got) == len(grid)
+        if rows_per_split == 3:
+            salted = got
+    for row, cell in zip(got, grid):
+        model = M.factorize(train, skill=skill, start=start, **cell)
+        scored = M.predict_ratings(test, model, skill=skill).filter("estimate is not null")
+        assert (row.epochs, row.diverged, row.cold) == (len(model.losses), model.diverged, test.count() - scored.count())
+        assert [row.first_loss, row.last_loss] == pytest.approx([model.losses[0], model.losses[-1]], nan_ok=True) if model.losses else row.first_loss is None
+        assert row.rmse == pytest.approx(A.rmse(scored, "rating", "estimate").first()[0])
+    assert [x.rmse for x in salted] == pytest.approx([x.rmse for x in got])
+    assert sweep(train, test, []).count() == 0
+    with pytest.raises(ValueError):
+        sweep(train, test, [{"k": 2, "form": "sum"}])
 
 
 def test_ratings_from_logs(spark):
@@ -220,7 +243,9 @@ def test_zeros_are_no_ratings_and_unknown_pairs_have_no_estimate(spark):
     assert ("i", "1") in {(r["kind"], r["id"]) for r in whole.table.collect()}
     got = {(r["user"], r["item"]): r["estimate"] for r in M.predict_ratings(ratings, model).collect()}
     assert got[1, 1] is None and got[1, 2] is not None and len(got) == 3
-    assert M.sweep(ratings, ratings, [{"k": 2, "steps": 1}]).first()["cold"] == 1
+    assert sweep(ratings, ratings, [{"k": 2, "steps": 1}]).first()["cold"] == 1
+    nothing = ratings.limit(0)
+    assert tuple(sweep(nothing, ratings, [{"k": 2, "steps": 1}]).first())[1:] == (1, 0.0, 0.0, False, None, 3)
 
 
 def test_estimates_for_given_pairs(spark):
@@ -318,12 +343,11 @@ def test_tours(spark):
     assert [r["route"] for r in T.elite(scored, 1).collect()] == ["z"]
 
 
-@pytest.mark.parametrize("cells", [1, 16, 1 << 20])
-def test_roulette_hits_the_holding_interval(spark, cells):
+def test_roulette_hits_the_holding_interval(spark):
     weights = [(0, 1000.0), (1, 0.0), (2, 1.0), (3, 2.5), (4, 500.0)]
     df = spark.createDataFrame(weights, "id int, w double")
     picks = T.random_picks(spark, 300, 9).unionByName(spark.createDataFrame([(900, 0.0), (901, 0.9999999)], "pick_id long, pick double"))
-    got = {r["pick_id"]: (r["pick"], r["id"]) for r in T.roulette_sample(df, "w", ["id"], picks, cells=cells).collect()}
+    got = {r["pick_id"]: (r["pick"], r["id"]) for r in T.roulette_sample(df, "w", ["id"], picks).collect()}
     assert len(got) == 302
     ends = np.cumsum([w for _, w in weights]) / sum(w for _, w in weights)
     assert all(i == int(np.searchsorted(ends, p, side="right")) for p, i in got.values())

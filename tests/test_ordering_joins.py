@@ -168,3 +168,23 @@ def test_user_skill_forms(spark):
     raw = {"a": 3 / 4, "b": 3 / 47}
     low, high = min(raw.values()), max(raw.values())
     assert smooth == pytest.approx({u: (v - low + 1) / (high - low + 1) for u, v in raw.items()})
+
+
+def test_last_before_by_bisection(spark):
+    """Far more points than marks and the other way round, ties, nulls, copies, empty sides."""
+    from bisect import bisect_right
+
+    rnd = random.Random(5)
+    for n_marks, n_points in ((5, 600), (600, 5), (80, 80), (0, 9), (9, 0)):
+        marks = [(rnd.randrange(50) / 4, f"m{i}") for i in range(n_marks)] + [(None, "never")]
+        points = [(i, rnd.choice([None, rnd.randrange(-20, 80) / 4])) for i in range(n_points)] + [(-1, None)] * 2
+        m = spark.createDataFrame(marks, "at double, name string").repartition(7)
+        p = spark.createDataFrame(points, "id int, at double").repartition(5)
+        got = O.last_before(p, m, "at", "at").collect()
+        starts = sorted(a for a, _ in marks if a is not None)
+        want = []
+        for i, at in points:
+            n = 0 if at is None else bisect_right(starts, at)
+            want.append((i, at, starts[n - 1] if n else None))
+        assert sorted(((r.id, r.at, r.found.at if r.found else None) for r in got), key=repr) == sorted(want, key=repr)
+        assert all(r.found is None or (r.found.at, r.found.name) in marks for r in got)
