@@ -265,6 +265,24 @@ def content_match(spark, sf):
     return match_ratio(test, train, KEYS, TESTS).select(*S.ID, "score")
 
 
+REGION_TESTS = [Equal("source_system_tab"), Equal("gender"), Close("song_length", 30_000), Close("bd", 5), Shared("composer")]
+
+
+@query(f"""with {S.SQL},
+w as (select l_linestatus, registered_via as k, source_system_tab as a, gender as b, nullif(song_length, 0) as x, nullif(bd, 0) as y, composer,
+   regexp_split_to_array(composer, {SPLIT}) as c from wide),
+q as (select distinct k, a, b, x, y, composer, c from w where l_linestatus = 'O'), t as (select distinct k, a, b, x, y, c from w where l_linestatus = 'F'),
+p as (select q.k, q.a, q.b, q.x, q.y, q.composer, max(coalesce((q.a = t.a)::int, 0) + coalesce((q.b = t.b)::int, 0) + coalesce((abs(q.x - t.x) < 30000)::int, 0)
+   + coalesce((abs(q.y - t.y) < 5)::int, 0) + coalesce(list_has_any(q.c, t.c)::int, 0)) as n from q join t on q.k = t.k group by all)
+select {', '.join(S.ID)}, coalesce(n, 0) / 5.0 as score from wide f left join p on f.registered_via = p.k and f.source_system_tab is not distinct from p.a
+  and f.gender is not distinct from p.b and nullif(f.song_length, 0) is not distinct from p.x and nullif(f.bd, 0) is not distinct from p.y
+  and f.composer is not distinct from p.composer where l_linestatus = 'O'""")
+def content_match_regions(spark, sf):
+    """Open lines against all finished lines of their region: five keys hold all rows, two tests are tolerances."""
+    train, test = S.split(S.wide_rows(spark, sf))
+    return match_ratio(test, train, {"registered_via": ()}, REGION_TESTS).select(*S.ID, "score")
+
+
 @query("""with d as (select label, i, avg(x) as c from (select label, generate_subscripts(embedding, 1) as i, cast(unnest(embedding) as double) as x from embeddings) group by all),
 c as (select label, list(c order by i) as c, avg(c) as mc from d group by label),
 e as (select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings),
