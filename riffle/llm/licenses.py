@@ -1,10 +1,11 @@
 """License texts: phrases, and an exact containment join of text blocks with templates.
 
 Only DataFrame and SQL functions.  Blocks are windows of words, each half over the last.  A template's distinct words are
-put in the order of how many documents of the whole corpus hold them, the rarest first.  If a block holds at
-least a share t of a template's n words, it holds one of the template's first n - ceil(t * n) + 1 words
-(prefix filter), has ceil(t * n) words itself (length filter), and the rarest word they share leaves
-enough words behind it (positional filter).  What passes is counted exactly.
+put in the order of how many documents of the whole corpus hold them, the rarest first, and so are a block's words
+that any template has.  If a block holds at least a share t of a template's n words, it holds one of the
+template's first n - ceil(t * n) + 1 words (prefix filter), has ceil(t * n) such words itself (length filter), and
+behind the rarest word they share enough words are left on both sides (positional filter): in the template and
+in the block.  What passes is counted exactly.
 
 Templates are a short list given by the caller; their word table (one row for each prefix word of a
 template) is broadcast.  Texts without a prefix word never leave their row.
@@ -74,8 +75,8 @@ def word_blocks(words: Column, size: int = BLOCK_WORDS) -> Column:
     return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(found) - 1) / step).cast("int") - 1)), lambda i: F.slice(found, i * step + 1, size))
 
 
-def template_words(docs: DataFrame, templates: list[tuple[str, str]]) -> list[list[str]]:
-    """Distinct words of each template, in the order of how many of the texts in column ``_words`` hold them; ties by name.
+def template_words(docs: DataFrame, templates: list[tuple[str, str]]) -> tuple[list[list[str]], list[str]]:
+    """Distinct words of each template, and of all, in the order of how many of the texts in column ``_words`` hold them; ties by name.
 
     The counts cover the whole corpus; only the templates' own words, a short list, come to the driver.
     """
@@ -83,10 +84,11 @@ def template_words(docs: DataFrame, templates: list[tuple[str, str]]) -> list[li
     own = {r.template: set(r.words) - {""} for r in rows.select("template", F.split(F.trim(words_text(F.col("text"))), " ").alias("words")).collect()}
     vocabulary = sorted(set().union(*own.values()))
     if not vocabulary:
-        return [[] for _ in templates]
+        return [[] for _ in templates], []
     held = F.array_intersect(F.split(F.trim("_words"), " "), F.array(*map(F.lit, vocabulary)))
     often = {r.word: r.n for r in docs.select(F.explode(held).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [sorted(own[i], key=lambda w: (often.get(w, 0), w)) for i in range(len(templates))]
+    order = sorted(vocabulary, key=lambda w: (often.get(w, 0), w))
+    return [[w for w in order if w in own[i]] for i in range(len(templates))], order
 
 
 def containment(docs: DataFrame, templates: list[tuple[str, str]], share: float = CONTAINMENT, size: int = BLOCK_WORDS) -> DataFrame:
@@ -94,8 +96,18 @@ def containment(docs: DataFrame, templates: list[tuple[str, str]], share: float
 
     Exact: the filters never lose a pair.  Words are compared as sets.  A template without words matches nothing.
     """
+    pairs = candidate_pairs(docs, templates, share, size)
+    common = F.size(F.array_intersect("tokens", "held"))
+    return pairs.where(common >= F.col("need")).select("key", "template", (common / F.size("tokens")).alias("similarity"))
+
+
+def candidate_pairs(docs: DataFrame, templates: list[tuple[str, str]], share: float, size: int, positional: bool = True) -> DataFrame:
+    """(key, held, template, tokens, need) of the pairs of a block and a template that pass the filters, each once.
+
+    held are the block's words that any template has, tokens the template's, both in the global order.
+    """
     spark = docs.sparkSession
-    tokens = template_words(docs, templates)
+    tokens, order = template_words(docs, templates)
     rows = []
     for i, t in enumerate(tokens):
         need = math.ceil(share * len(t) - 1e-9)
@@ -103,16 +115,19 @@ def containment(docs: DataFrame, templates: list[tuple[str, str]], share: float
     index = spark.createDataFrame(rows, "template int, tokens array<string>, need int, place int, word string")
     prefix = sorted({r[4] for r in rows})
     if not prefix:
-        return docs.select("key", F.lit(0).alias("template"), F.lit(0.0).alias("similarity")).limit(0)
-    marks = F.array(*map(F.lit, prefix))
+        none = F.array().cast("array<string>")
+        return docs.select("key", none.alias("held"), F.lit(0).alias("template"), none.alias("tokens"), F.lit(0).alias("need")).limit(0)
+    marks, every = F.array(*map(F.lit, prefix)), F.array(*map(F.lit, order))
     likely = docs.where(F.arrays_overlap(F.split(F.trim("_words"), " "), marks))
     blocks = likely.select("key", F.explode(word_blocks(F.col("_words"), size)).alias("words"))
-    probes = blocks.select("key", F.array_distinct("words").alias("words")).select("key", "words", F.explode(F.array_intersect("words", marks)).alias("word"))
-    n = F.size("tokens")
-    pairs = probes.join(F.broadcast(index), "word").where((F.size("words") >= F.col("need")) & (n - F.col("place") >= F.col("need")))
-    first = F.get(F.filter("tokens", lambda t: F.array_contains("words", t)), F.lit(0)) == F.col("word")  # a pair comes up by its rarest word only
-    common = F.size(F.array_intersect("tokens", "words"))
-    return pairs.where(first).where(common >= F.col("need")).select("key", "template", (common / n).alias("similarity"))
+    ordered = blocks.select("key", F.array_intersect(every, F.col("words")).alias("held"))
+    probes = ordered.select("key", "held", F.explode(F.array_intersect("held", marks)).alias("word"))
+    pairs = probes.join(F.broadcast(index), "word").where(F.size("held") >= F.col("need"))
+    if positional:
+        at = F.array_position("held", F.col("word")) - 1
+        pairs = pairs.where(F.least(F.size("tokens") - F.col("place"), F.size("held") - at) >= F.col("need"))
+    first = F.get(F.filter("tokens", lambda t: F.array_contains("held", t)), F.lit(0)) == F.col("word")  # a pair comes up by its rarest word only
+    return pairs.where(first).select("key", "held", "template", "tokens", "need")
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, phrases: dict[str, str] | None = None, share: float = CONTAINMENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -61,6 +61,23 @@ def test_containment_by_plain_loops(spark):
         check(spark, rows, templates, share)
 
 
+def test_positional_filter_removes_pairs_and_loses_none(spark):
+    """Blocks that hold enough template words of any kind, but too few behind the rarest one they share."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(40)]
+    templates = [(f"t{i}", " ".join(r.sample(words, 10))) for i in range(8)]
+    docs = spark.createDataFrame([(i, " ".join(r.sample(words, 8))) for i in range(2000)], "doc_id long, text string")
+    texts = docs.select(F.col("doc_id").alias("key"), li.words_text(F.col("text")).alias("_words"))
+    common = F.size(F.array_intersect("tokens", "held"))
+    found = {}
+    for positional in (False, True):
+        pairs = li.candidate_pairs(texts, templates, 0.6, 64, positional)
+        found[positional] = (pairs.count(), sorted(map(tuple, pairs.where(common >= F.col("need")).select("key", "template").collect())))
+    assert found[True][0] < found[False][0] * 0.8 and found[True][1] == found[False][1] and found[True][1]
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
