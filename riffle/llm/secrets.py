@@ -4,6 +4,10 @@ Only DataFrame, SQL and MLlib functions.  The forest sees a candidate's length a
 neighbouring characters change their class, how much of it is made of words that stand in other documents too
 (counted over all of them), its path and the words around it.  It is trained on a bounded number of labelled
 findings (``sample_rows``), chosen by a hash.
+
+Where no labels are given, they come from what the text says of a finding: the name before it and whether that is
+assigned.  These columns (MARKS) are no inputs of the forest, so it has to find the secrets by the other signs,
+judges findings that no name speaks of, and may overrule a name.
 """
 
 from __future__ import annotations
@@ -28,8 +32,10 @@ OTHER_NAMES = "example|sample|dummy|commit|revision|sha|md5|checksum|digest|uuid
 SAMPLE_PATHS = "test|example|sample|fixture|mock|demo|docs?/"
 FEATURES = [
     "f_length", "f_changes", "f_digits", "f_upper", "f_other", "f_kinds", "f_hex", "f_words", "f_path_sample", "f_path_depth",
-    "f_secret_name", "f_other_name", "f_assigned", "f_quoted",
+    "f_quoted", "f_prose_before", "f_prose_after", "f_digits_around",
 ]
+#: What labels are made of; not seen by the forest.
+MARKS = ["m_secret_name", "m_other_name", "m_assigned"]
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
@@ -69,13 +75,17 @@ def _share(token: Column, pattern: str) -> Column:
 
 
 def features(found: DataFrame, words: DataFrame) -> DataFrame:
-    """``found`` with the columns of FEATURES."""
+    """``found`` with the columns of FEATURES and MARKS.  Without words around it, a finding has 0 for their shares.
+
+    Equal rows get equal values; null paths count as empty; an empty table gives an empty one.
+    """
     token = F.col("token")
     runs = F.array_distinct(F.regexp_extract_all(F.lower(token), F.lit("[a-z]{3,}"), F.lit(0)))
     distinct = found.select("token").distinct()
     covered = distinct.select("token", F.explode(runs).alias("word")).join(words, "word").groupBy("token").agg(F.sum(F.length("word")).alias("letters"))
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(token, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "0")
     flag = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
+    lead = F.regexp_replace("before", r"""[\s=:"']+$""", "")  # without the signs that labels are made of
     before, path = F.lower("before"), F.lower(F.coalesce("path", F.lit("")))
     return found.join(covered, "token", "left").withColumns({
         "f_length": F.least(F.length(token), F.lit(200)).cast("double"),
@@ -88,10 +98,13 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         "f_words": F.least(F.lit(1.0), F.coalesce(F.col("letters"), F.lit(0)) / F.length(token)),
         "f_path_sample": flag(path.rlike(SAMPLE_PATHS)),
         "f_path_depth": F.size(F.split(path, "/")).cast("double"),
-        "f_secret_name": flag(before.rlike(SECRET_NAMES)),
-        "f_other_name": flag(before.rlike(OTHER_NAMES)),
-        "f_assigned": flag(F.col("before").rlike(r"""[=:]\s*["']?$""")),
         "f_quoted": flag(F.col("before").rlike(r"""["']$""") & F.col("after").rlike(r"""^["']""")),
+        "f_prose_before": F.coalesce(F.try_divide(F.length(F.regexp_replace(lead, "[^A-Za-z ]", "")), F.length(lead)), F.lit(0.0)),
+        "f_prose_after": F.coalesce(F.try_divide(F.length(F.regexp_replace("after", "[^A-Za-z ]", "")), F.length("after")), F.lit(0.0)),
+        "f_digits_around": flag(F.concat("before", "after").rlike("[0-9]")),
+        "m_secret_name": flag(before.rlike(SECRET_NAMES)),
+        "m_other_name": flag(before.rlike(OTHER_NAMES)),
+        "m_assigned": flag(F.col("before").rlike(r"""[=:]\s*["']?$""")),
     }).drop("letters")
 
 
@@ -123,8 +136,8 @@ def judge(found: DataFrame, model: PipelineModel | None) -> DataFrame:
 def name_labels(found: DataFrame) -> DataFrame:
     """Labels for findings where none are given: 1 if the words before name a secret and assign it, 0 if they do
     neither, else null (not learned from)."""
-    named, assigned = F.col("f_secret_name") > 0, F.col("f_assigned") + F.col("f_quoted") > 0
-    return found.withColumn("label", F.when(named & assigned & (F.col("f_other_name") == 0), 1).when(~named & ~assigned, 0))
+    named, assigned = F.col("m_secret_name") > 0, F.col("m_assigned") > 0
+    return found.withColumn("label", F.when(named & assigned & (F.col("m_other_name") == 0), 1).when(~named & ~assigned, 0))
 
 
 @query("op5_secret_scan")

@@ -33,7 +33,7 @@ def test_candidates_and_features_by_plain_python(spark):
     words = spark.createDataFrame([("internationalization",), ("dbebab",)], "word string")
     got = {r.token: r for r in se.features(found, words).collect()}
     a, b = got["04dbebab91ab85687d33eeaaf9ac699e1188f962"], got["internationalization"]
-    assert (a.f_length, a.f_hex, a.f_secret_name, a.f_assigned, a.f_quoted, b.f_words) == (40, 1, 1, 1, 1, 1.0)
+    assert (a.f_length, a.f_hex, a.m_secret_name, a.m_assigned, a.f_quoted, b.f_words) == (40, 1, 1, 1, 1, 1.0)
     assert a.f_digits == sum(c.isdigit() for c in a.token) / 40 and abs(a.f_words - 6 / 40) < 1e-9
     assert se.candidates(df.limit(0)).count() == 0
 
@@ -64,6 +64,31 @@ def test_forest_removes_false_positives(spark):
     assert se.train(labelled.limit(0)) is None and se.judge(found, None).where("score <> 1").count() == 0
 
 
+def test_forest_overrules_names(spark):
+    """Learned from names alone, it finds secrets that none names and drops words that one does."""
+    r = random.Random(4)
+    syllables = ["the", "tion", "ing", "ble", "er"]
+    hexes, spelled = lambda: "".join(r.choices("0123456789abcdef", k=32)), lambda: "".join(r.choices(syllables, k=6))
+    rows = [(i, f'token = "{hexes()}" more' if i % 2 else f"as {spelled()} said", "src") for i in range(600)]
+    rows += [(600 + i, f'token = "{spelled()}" more', "src") for i in range(30)]
+    rows += [(700 + i, f'value "{hexes()}" more', "src") for i in range(40)]
+    rows += [(800 + i, f'called "{spelled()}" more', "src") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labelled = se.name_labels(se.features(se.candidates(df), se.known_words(df)))
+    assert not set(se.MARKS) & set(se.FEATURES)
+    got = {x.doc_id: (x.label, x.score > 0.5) for x in se.judge(labelled, se.train(labelled)).collect()}
+    named, unnamed = [got[i] for i in range(600, 630) if i in got], [got[i] for i in range(700, 740)]
+    assert sum(not s for _, s in named) >= 0.9 * len(named) and {x for x, _ in named} == {1}
+    assert all(s for _, s in unnamed) and {x for x, _ in unnamed} == {0}
+
+
+def test_query_on_nulls_and_empty_tables(spark, tmp_path):
+    schema = "doc_id long, text string, source string, lang string"
+    for n, rows in enumerate(([], [(None, None, None, None), (1, None, "a", "en"), (2, "", None, None)])):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{n}/documents.parquet")
+        assert se.op5(spark, f"{tmp_path}/{n}").count() == 0
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
