@@ -32,6 +32,8 @@ PER_FILTER = 160
 LEAST_ENTROPY, MOST_ENTROPY = 100, 990
 #: Share of the possible overlap that counts as chance.
 CHANCE = 0.3
+#: A range of ids holds about half as many bytes of text, so tasks stay alike however large the table is.
+RANGE_BYTES = 256 << 20
 _SCALE = 1 << 20
 _FLOG = np.array([0] + [round(c * np.log2(c) * _SCALE) for c in range(1, WIDTH + 1)], dtype=np.int64)
 _ADDED = np.diff(_FLOG)
@@ -156,14 +158,17 @@ def likeness(a: Prints, i: int, b: Prints, j: int) -> float:
         a, x, b, y = b, y, a, x
     if x.stop == x.start:
         return float(y.stop == y.start)
-    common = np.bitwise_count(a.filters[x][:, None] & b.filters[y][None]).sum(axis=2, dtype=np.int64)
-    most = np.minimum(a.set[x][:, None], b.set[y][None])
     miss = (1 - 1 / FILTER_BITS) ** HASHES
-    p, q = miss ** a.held[x][:, None], miss ** b.held[y][None]
-    least = FILTER_BITS * (1 - p) * (1 - q)
-    floor = CHANCE * np.maximum(most - least, 0) + np.minimum(least, most)
-    score = np.where(common == most, 1.0, (common - floor) / np.maximum(most - floor, 1e-9))
-    return float(np.average(np.clip(score, 0, 1).max(axis=1), weights=a.held[x]))
+    q = miss ** b.held[y]
+    best = np.empty(x.stop - x.start)
+    for k, f in enumerate(range(x.start, x.stop)):  # one filter against all of the longer text, so memory stays that of one text
+        common = np.bitwise_count(a.filters[f] & b.filters[y]).sum(axis=1, dtype=np.int64)
+        most = np.minimum(a.set[f], b.set[y])
+        least = FILTER_BITS * (1 - miss ** a.held[f]) * (1 - q)
+        floor = CHANCE * np.maximum(most - least, 0) + np.minimum(least, most)
+        score = np.where(common == most, 1.0, (common - floor) / np.maximum(most - floor, 1e-9))
+        best[k] = np.clip(score, 0, 1).max()
+    return float(np.average(best, weights=a.held[x]))
 
 
 def _ranges(docs: DataFrame, parts: int) -> tuple[np.ndarray, DataFrame]:
@@ -209,7 +214,8 @@ def compare_with_next(docs: DataFrame, rank: np.ndarray | None = None) -> DataFr
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rank = ranks(docs) if rank is None else rank
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     _, dealt = _ranges(docs, 2 * parts)
     ordered = dealt.repartition(parts, "range").sortWithinPartitions("range", "tail", "id", "text")
     return ordered.mapInArrow(_print_pairs(rank), "doc_id long, n_chars long, edited_text string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -91,3 +91,37 @@ def test_query(spark):
         assert got[d].n_chars == len(t) and got[d].edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
         assert prints.setdefault(t, got[d].fingerprint) == got[d].fingerprint
     assert np.mean([x.near_edited for x in got.values()]) > 0.25 > np.mean([x.near_next for x in got.values()])
+
+
+def test_likeness_by_plain_pairs_and_bounded_memory():
+    """Filter by filter as one formula over all pairs of filters; two texts of 4 MB take little beside their prints."""
+    import tracemalloc
+
+    r = random.Random(6)
+    text = lambda n: "".join(r.choices("abcdefghijklmnop ", k=n))
+    base = text(60_000)
+    p = fp.Prints(*bytes_of([base, base[:30_000] + text(50_000), text(20_000), base[20_000:40_000], text(70)]), np.arange(1001))
+
+    def plain(i, j):
+        if (p.at[i + 1] - p.at[i], p.total[i]) > (p.at[j + 1] - p.at[j], p.total[j]):
+            i, j = j, i
+        miss, total, weight = (1 - 1 / fp.FILTER_BITS) ** fp.HASHES, 0.0, 0
+        for f in range(p.at[i], p.at[i + 1]):
+            best = 0.0
+            for g in range(p.at[j], p.at[j + 1]):
+                common = sum(bin(int(a) & int(b)).count("1") for a, b in zip(p.filters[f], p.filters[g]))
+                most = min(p.set[f], p.set[g])
+                least = fp.FILTER_BITS * (1 - miss ** p.held[f]) * (1 - miss ** p.held[g])
+                floor = fp.CHANCE * max(most - least, 0) + min(least, most)
+                best = max(best, 1.0 if common == most else min(1.0, max(0.0, (common - floor) / max(most - floor, 1e-9))))
+            total, weight = total + best * p.held[f], weight + p.held[f]
+        return total / weight
+
+    for i in range(5):
+        for j in range(5):
+            assert abs(fp.likeness(p, i, p, j) - plain(i, j)) < 1e-9
+    long = fp.Prints(*bytes_of([text(4_000_000), text(4_000_000)]), np.arange(1001))
+    tracemalloc.start()
+    fp.likeness(long, 0, long, 1)
+    assert tracemalloc.get_traced_memory()[1] < 4 * long.filters.nbytes + (1 << 20)
+    tracemalloc.stop()
