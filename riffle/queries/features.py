@@ -104,17 +104,24 @@ def html_text(spark, sf):
     return pages.select("page_id", F.posexplode(X.html_texts(F.col("html"))).alias("pos", "node"))
 
 
-@query(f"""with {NODES_SQL} select page_id as question_uid, url, array_to_string(list(node order by pos), '') as qtext, '' as qimage
-from nodes group by page_id, url""")
+@query(f"""with {NODES_SQL},
+texts as (select page_id, url, array_to_string(list(node order by pos), '') as qtext from nodes group by page_id, url),
+e as (select page_id, unnest(regexp_extract_all(html, '<(?:a href="[^"]*"|div class="[^"]*")')) as e,
+  generate_subscripts(regexp_extract_all(html, '<(?:a href="[^"]*"|div class="[^"]*")'), 1) as at_ from pages),
+assets as (select page_id, concat(',', array_to_string(list(string_split(e, '"')[2] order by at_), ',')) as qimage from e where e like '<a %' or string_split(e, '"')[2] <> '' group by page_id),
+k as (select lang from documents where lang is not null group by lang having count(*) < (select count(*) / count(distinct lang) from documents where lang is not null))
+select page_id as question_uid, url, qtext, qimage from texts join assets using (page_id)
+where trim(qtext) <> '' and trim(qimage) <> '' and page_id in (select doc_id from documents where lang in (select lang from k))""")
 def corpus_build(spark, sf):
-    """Pages as questions, the document of the same number as link, its language as knowledge."""
-    questions = table(spark, sf, "pages").select(F.col("page_id").alias("question_uid"), "url", "html")
-    docs = table(spark, sf, "documents")
+    """Pages as questions, whose links and classes stand as images and backgrounds; the document of the same number is the
+    link, its language the knowledge.  Only pages of the rarer languages stay, and of those the ones with text and assets."""
+    shown = F.regexp_replace(F.regexp_replace("html", '<a href="', '<img src="'), '<div class="([^"]*)"', """<div style="background:url('$1')\"""")
+    questions = table(spark, sf, "pages").select(F.col("page_id").alias("question_uid"), "url", shown.alias("html"))
+    docs = table(spark, sf, "documents").filter("lang is not null")
     links = docs.select(F.col("doc_id").alias("question_uid"), F.col("lang").alias("knowledge_uid"))
+    whole = docs.agg((F.count(F.lit(1)) / F.count_distinct("lang")).alias("mean")).first()[0] or 0.0
     knowledge = docs.groupBy(F.col("lang").alias("knowledge_uid")).agg(F.count(F.lit(1)).alias("size"))
-    return K.build_question_corpus(
-        questions, links, knowledge, F.col("size") > 0, ["html"], order=["url"], require=["qtext"]
-    )
+    return K.build_question_corpus(questions, links, knowledge, F.col("size") < whole, ["html"], order=["url"], how="inner")
 
 
 @query("""select path, cast(try_cast(label as int) as int) as label from (
