@@ -1,6 +1,8 @@
 """Linear neurons and perceptrons fitted by Spark aggregates.
 
 ``mode="batch"`` sums the gradient over all rows in one aggregate per epoch.
+``mode="ordered"`` updates row by row in a global order and equals a loop on one machine
+(``rowwise``); linear neurons only.
 ``mode="mixing"`` lets every task pass over its own rows with updates row by row and
 averages the task weights by row count after each epoch; per-row updates depend on
 the row order, so this agrees with a one-machine loop in quality, not in digits.
@@ -17,6 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riffle.functions.vectors import dot
+from riffle.operators.ordering import global_index
+from riffle.operators.sampling import permuted_place
+from riffle.plans.rowwise import ordered_map, update_rows
+from riffle.session import discard, materialize
 
 Rule = Callable[[np.ndarray, dict], np.ndarray]
 # Above this many features a sum per feature makes the generated code too long, and the
@@ -80,7 +86,7 @@ def adam(lr: float = 0.001, beta1: float = 0.9, beta2: float = 0.999, eps: float
 @dataclass
 class LinearModel:
     """``weights[0]`` is the intercept; ``history`` holds one metric per epoch: half the
-    squared error (batch), mean cost or number of updates (mixing)."""
+    squared error (batch), mean cost (ordered), mean cost or number of updates (mixing)."""
 
     features: list[str]
     weights: np.ndarray
@@ -153,15 +159,8 @@ def _pass_over(
             x = np.column_stack([np.ones(len(b)), b[list(features)].to_numpy(dtype=float)])
             raw = b[label].to_numpy()
             y = np.where(raw[:, None] == marks[None, :], 1.0, -1.0) if len(marks) else raw[:, None].astype(float)
-            for r in rng.permutation(len(b)):
-                net = w @ x[r]
-                if kind == "adaline":
-                    e = y[r] - net
-                    cost += 0.5 * float(e @ e)
-                else:
-                    e = y[r] - np.where(net >= 0, 1.0, -1.0)
-                    cost += float((e != 0).sum())
-                w += eta * e[:, None] * x[r][None, :]
+            turn = rng.permutation(len(b))
+            cost += update_rows(w, x[turn], y[turn], kind, eta)
             rows += len(b)
         if rows:
             yield pd.DataFrame({"w": [w.ravel()], "n": [rows], "cost": [cost]})
@@ -184,6 +183,33 @@ def _mixed_epoch(df, features, label, weights, classes, kind, eta, seed) -> tupl
     return np.array([r["v"] / rows for r in found]).reshape(weights.shape), rows, found[0]["cost"]
 
 
+def _fit_ordered(df, features, label, eta, epochs, seed, start, order, shuffle) -> LinearModel:
+    weights = np.zeros(len(features) + 1) if start is None else np.array(start, dtype=float)
+    model = LinearModel(features, weights)
+    rows = df.dropna(subset=[*features, label])
+    ranked, found = None, None
+    if shuffle:
+        numbered = global_index(rows.select(*features, label, *[F.col(c).alias(f"_by{j}") for j, c in enumerate(order)]),
+                                [*[f"_by{j}" for j in range(len(order))], *features, label], "_rank")
+        ranked = materialize(numbered.select(*features, label, "_rank"))
+        n = max(ranked.count(), 1)
+    for e in range(epochs):
+        if shuffle:
+            turned = ranked.withColumn("_place", permuted_place(F.col("_rank"), n, seed + e))
+            found = ordered_map(turned, features, label, ["_place"], eta)
+        elif e == 0:
+            found = ordered_map(rows, features, label, order, eta)
+        if found is None:
+            break
+        move, cost, count = found
+        state = np.append(model.weights, 1.0)
+        model.history.append(float(state @ cost @ state) / count)
+        model.weights = (move @ state)[:-1]
+    if shuffle:
+        discard(ranked)
+    return model
+
+
 def fit_linear(
     df: DataFrame,
     features: Sequence[str],
@@ -195,12 +221,21 @@ def fit_linear(
     epochs: int = 20,
     seed: int = 1,
     start: np.ndarray | None = None,
+    order: Sequence[str] | None = None,
+    shuffle: bool = False,
 ) -> LinearModel:
     """Fit on labels -1 and +1.
 
     ``rule`` turns the summed gradient into a step in batch mode (default: plain
-    descent with rate ``eta``).
+    descent with rate ``eta``).  ``order`` names the columns that order the rows in mode
+    "ordered"; with ``shuffle`` each epoch takes its own permutation of that order, which
+    ``seed`` repeats.  There a row with a null in a feature or the label is left out, and
+    a table without rows leaves the weights as they are.
     """
+    if mode == "ordered":
+        if kind != "adaline" or not order:
+            raise ValueError("mode 'ordered' needs kind 'adaline' and order columns")
+        return _fit_ordered(df, list(features), label, eta, epochs, seed, start, list(order), shuffle)
     data = df.select(*features, label).persist()
     weights = np.zeros(len(features) + 1) if start is None else np.array(start, dtype=float)
     model = LinearModel(list(features), weights)

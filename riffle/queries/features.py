@@ -132,7 +132,7 @@ def json_map_labels(spark, sf):
     return manifest_from_json_map(keyed, "m").withColumn("path", F.col("path").cast("long"))
 
 
-EXAM_MARK = "case when n_chars < 300 then 'A1' when n_chars < 600 then 'X' when n_chars < 2000 then '案例题' else 'other' end"
+EXAM_MARK = "case when n_chars < 300 then 'A1' when n_chars < 600 then 'X' else '案例题' end"
 
 
 @query(f"""with p as (select source as "subType", lang as "subCon", {EXAM_MARK} as marker, text,
@@ -142,7 +142,7 @@ case when marker = 'A1' then '单选题' when marker = 'X' then '多选题' else
 concat(string_split(text, ' ')[1], '<', "subType", '>') as "queCon",
 {', '.join(f'''case when marker = '案例题' then '' else coalesce(opts[{i}], '') end as "queAns{c}"''' for i, c in enumerate('ABCDE', 1))},
 case when contains(replace(text, chr(10), ''), 'the') then substr(replace(text, chr(10), ''), instr(replace(text, chr(10), ''), 'the')) else replace(text, chr(10), '') end as "quePar"
-from p where marker <> 'other'""")
+from p""")
 def exam_items(spark, sf):
     docs = table(spark, sf, "documents").selectExpr(
         "source as sub_type", "lang as sub_con", f"{EXAM_MARK} as marker", "split_part(text, ' ', 1) as stem",
@@ -202,7 +202,7 @@ trs as (select song_id, count(*) n from tr group by 1), tes as (select song_id,
 tra as (select a, count(*) n from tr group by 1), tea as (select a, count(*) n from te group by 1),
 b as (select wide.* replace (coalesce(song_length, 200000) as song_length, coalesce(artist_name, 'no_artist') as artist_name,
         coalesce(composer, 'no_composer') as composer, coalesce(lyricist, 'no_lyricist') as lyricist)
-      from wide where l_linestatus = 'F'),
+      from wide),
 x as (select {', '.join(S.ID)}, target, {MEMBER_OUT}, song_length,
  case when lyricist = 'no_lyricist' then 0 else len(regexp_extract_all(lyricist, '[|/\\\\;]')) + 1 end as lyricists_count,
  case when composer = 'no_composer' then 0 else len(regexp_extract_all(composer, '[|/\\\\;]')) + 1 end as composer_count,
@@ -220,7 +220,7 @@ y as (select * exclude (atags), unnest(atags) as artist_tag from x)
 select * exclude (gt), unnest(gt) as genre_tag from y""")
 def song_features(spark, sf):
     train, test = S.split(S.fact_rows(spark, sf))
-    out = build_song_features(train, train, test, S.members(spark, sf), S.songs(spark, sf), S.codes(spark, sf))
+    out = build_song_features(S.fact_rows(spark, sf), train, test, S.members(spark, sf), S.songs(spark, sf), S.codes(spark, sf))
     return out.drop("msno", "song_id", "source_system_tab", "source_screen_name", "source_type", "composer", "lyricist", "l_linestatus")
 
 

@@ -382,18 +382,91 @@ def adaline_epochs(spark, sf):
     )
 
 
+_PASS = """list_reduce(rows_, lambda a, r: {'x1': r.x1, 'x2': r.x2, 'y': r.y,
+  'w0': a.w0 + 0.001 * (r.y - (a.w0 + a.w1 * r.x1 + a.w2 * r.x2)), 'w1': a.w1 + 0.001 * (r.y - (a.w0 + a.w1 * r.x1 + a.w2 * r.x2)) * r.x1,
+  'w2': a.w2 + 0.001 * (r.y - (a.w0 + a.w1 * r.x1 + a.w2 * r.x2)) * r.x2,
+  'c': a.c + (r.y - (a.w0 + a.w1 * r.x1 + a.w2 * r.x2)) * (r.y - (a.w0 + a.w1 * r.x1 + a.w2 * r.x2)) / 2}, %s)"""
+
+
+@query(f"""with z as (select l_orderkey, l_linenumber, l_quantity::double / 50 as x1, l_discount::double * 10 as x2, case when l_returnflag = 'R' then 1.0::double else -1.0::double end as y from lineitem),
+l as (select list({{'x1': x1, 'x2': x2, 'y': y, 'w0': 0.0::double, 'w1': 0.0::double, 'w2': 0.0::double, 'c': 0.0::double}} order by l_orderkey, l_linenumber, x1, x2, y) as rows_ from z),
+s1 as (select rows_, {_PASS % "{'x1': 0.0::double, 'x2': 0.0::double, 'y': 0.0::double, 'w0': 0.0::double, 'w1': 0.0::double, 'w2': 0.0::double, 'c': 0.0::double}"} as s from l),
+s2 as (select rows_, {_PASS % "{'x1': 0.0::double, 'x2': 0.0::double, 'y': 0.0::double, 'w0': s.w0, 'w1': s.w1, 'w2': s.w2, 'c': 0.0::double}"} as s from s1)
+select epoch, round(s.w0, 6) as w0, round(s.w1, 6) as w1, round(s.w2, 6) as w2, round(s.c / len(rows_), 6) as mean_cost
+from (select 1 as epoch, * from s1 union all select 2, * from s2)""")
+def adaline_rows(spark, sf):
+    """Weights after each of two passes over all lines, one update a line in the order of the orders."""
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_quantity").cast("double") / 50).alias("x1"), (F.col("l_discount").cast("double") * 10).alias("x2"),
+        F.when(F.col("l_returnflag") == "R", 1.0).otherwise(-1.0).alias("y"),
+    )
+    out, weights = [], None
+    for epoch in (1, 2):
+        model = L.fit_linear(rows, ["x1", "x2"], "y", mode="ordered", order=["l_orderkey", "l_linenumber"], eta=0.001, epochs=1, start=weights)
+        weights = model.weights
+        out.append((epoch, *[float(w) for w in weights], model.history[-1]))
+    frame = spark.createDataFrame(out, "epoch int, w0 double, w1 double, w2 double, mean_cost double")
+    return frame.select("epoch", *[F.round(c, 6).alias(c) for c in ("w0", "w1", "w2", "mean_cost")])
+
+
 RULES = {
     "sgd": L.sgd(1e-4), "momentum": L.momentum(1e-4), "nesterov": L.nesterov(1e-4),
     "adagrad": L.adagrad(0.05), "rmsprop": L.rmsprop(0.01), "adam": L.adam(0.05),
 }
 
 
+# Each rule in SQL: the state after the first gradient g, the weight then, and both after the second one; all start at zero.
+_RULE_STEPS = {
+    "sgd": ("0.0", "-0.0001 * g", "0.0", "w - 0.0001 * g"),
+    "momentum": ("-0.0001 * g", "-0.0001 * g", "0.9 * s - 0.0001 * g", "w + 0.9 * s - 0.0001 * g"),
+    "nesterov": ("-0.0001 * g", "-1.9 * 0.0001 * g", "0.9 * s - 0.0001 * g", "w + 0.81 * s - 1.9 * 0.0001 * g"),
+    "adagrad": ("g * g", "-0.05 * g / (abs(g) + 1e-7)", "s + g * g", "w - 0.05 * g / (sqrt(s + g * g) + 1e-7)"),
+    "rmsprop": (
+        "0.01 * g * g", "-0.01 * g / (sqrt(0.01 * g * g) + 1e-7)",
+        "0.99 * s + 0.01 * g * g", "w - 0.01 * g / (sqrt(0.99 * s + 0.01 * g * g) + 1e-7)",
+    ),
+    "adam": (
+        "0.001 * g * g", "-0.05 * sqrt(0.001) / 0.1 * 0.1 * g / (sqrt(0.001 * g * g) + 1e-7)",
+        "0.999 * s + 0.001 * g * g",
+        "w - 0.05 * sqrt(1 - 0.999 * 0.999) / (1 - 0.9 * 0.9) * (0.9 * 0.1 * g1 + 0.1 * g) / (sqrt(0.999 * s + 0.001 * g * g) + 1e-7)",
+    ),
+}
+_FIRST = " union all ".join(f"select '{r}' as rule, i, g, {s} as s, {w} as w from g1" for r, (s, w, _, _) in _RULE_STEPS.items())
+_SECOND = " ".join(f"when '{r}' then {w}" for r, (_, _, _, w) in _RULE_STEPS.items())
+
+
+@query(f"""with f as (select o_custkey, avg(o_totalprice) as a, count(*) as b from orders group by 1),
+j as (select f.*, case when c_acctbal < 4000 then -1 else 1 end as y from f join customer on o_custkey = c_custkey),
+z as (select (a - (select avg(a) from j)) / (select stddev_pop(a) from j) as x1, (b - (select avg(b) from j)) / (select stddev_pop(b) from j) as x2, y from j),
+g1 as (select 0 as i, -sum(y)::double as g from z union all select 1, -sum(y * x1) from z union all select 2, -sum(y * x2) from z),
+t1 as ({_FIRST}),
+v1 as (select rule, sum(w) filter (i = 0) as w0, sum(w) filter (i = 1) as w1, sum(w) filter (i = 2) as w2 from t1 group by rule),
+e as (select rule, x1, x2, y - (w0 + w1 * x1 + w2 * x2) as e from z, v1),
+g2 as (select rule, 0 as i, -sum(e) as g from e group by rule union all select rule, 1, -sum(e * x1) from e group by rule union all select rule, 2, -sum(e * x2) from e group by rule),
+t2 as (select rule, i, case rule {_SECOND} end as w from (select t1.rule, t1.i, t1.g as g1, t1.s, t1.w, g2.g from t1 join g2 using (rule, i))),
+all_ as (select rule, 1 as epochs, i, w, (select sum(y * y) / 2.0 from z) as cost from t1
+  union all select rule, 2, i, w, (select sum(e * e) / 2 from e where e.rule = t2.rule) from t2)
+select rule, epochs, round(sum(w) filter (i = 0), 6) as w0, round(sum(w) filter (i = 1), 6) as w1, round(sum(w) filter (i = 2), 6) as w2,
+round(any_value(cost), 3) as cost from all_ group by rule, epochs""")
+def rule_epochs(spark, sf):
+    """Weights and half squared error of every update rule after one and two epochs over all customers."""
+    data = scaled_customers(spark, sf).persist()
+    rows = []
+    for name, rule in RULES.items():
+        for n in (1, 2):
+            model = L.fit_linear(data, ["x1", "x2"], "y", rule=rule, epochs=n)
+            rows.append((name, n, *[float(w) for w in model.weights], model.history[-1]))
+    data.unpersist()
+    out = spark.createDataFrame(rows, "rule string, epochs int, w0 double, w1 double, w2 double, cost double")
+    return out.select("rule", "epochs", *[F.round(c, 6).alias(c) for c in ("w0", "w1", "w2")], F.round("cost", 3).alias("cost"))
+
+
 @query()
 def linear_rules(spark, sf):
-    """Accuracy of each update rule and of the row-by-row fits on the vectors."""
+    """Accuracy of each update rule and of the row-by-row fits on the vectors, over 20 epochs (40 for the classes)."""
     names = [f"x{j}" for j in range(64)]
     wide = L.spread_array(table(spark, sf, "embeddings"), "embedding", 64)
-    data = wide.select(*names, "label", F.when(F.col("label") < 5, -1).otherwise(1).alias("y")).persist()
+    data = wide.select("vec_id", *names, "label", F.when(F.col("label") < 5, -1).otherwise(1).alias("y")).persist()
     rows = []
 
     def add(name, model, label):
@@ -401,10 +474,11 @@ def linear_rules(spark, sf):
         rows.append((name, len(model.history), float(model.history[-1]), hit))
 
     for name, rule in RULES.items():
-        add(name, L.fit_linear(data, names, "y", rule=rule, epochs=3), "y")
-    add("adaline_mixing", L.fit_linear(data, names, "y", mode="mixing", epochs=3), "y")
-    add("perceptron_mixing", L.fit_linear(data, names, "y", kind="perceptron", mode="mixing", epochs=3), "y")
-    add("one_vs_rest", L.fit_one_vs_rest(data, names, "label", epochs=3), "label")
+        add(name, L.fit_linear(data, names, "y", rule=rule, epochs=20), "y")
+    add("adaline_mixing", L.fit_linear(data, names, "y", mode="mixing", epochs=20), "y")
+    add("adaline_ordered", L.fit_linear(data, names, "y", mode="ordered", order=["vec_id"], epochs=20), "y")
+    add("perceptron_mixing", L.fit_linear(data, names, "y", kind="perceptron", mode="mixing", epochs=20), "y")
+    add("one_vs_rest", L.fit_one_vs_rest(data, names, "label", epochs=40), "label")
     data.unpersist()
     return spark.createDataFrame(rows, "rule string, epochs int, metric double, accuracy double")
 
@@ -440,15 +514,13 @@ def _fit_arrived(events, folder):
     partial_fit_stream(rows, ["x1", "x2"], "y", folder, eta=0.05).awaitTermination()
 
 
-@query("""with z as (select e.embedding, d.n_chars, e.label from embeddings e join documents d on vec_id = doc_id),
-r as (select case when label < 5 then 1 else 0 end as y, round(embedding[1], 2) as s from z),
+@query("""with r as (select case when label < 5 then 1 else 0 end as y, round(embedding[1], 2) as s from embeddings),
 c as (select s, sum(y) as pos, sum(1 - y) as neg from r group by s),
 w as (select *, sum(neg) over (order by s) - neg / 2.0 as below from c)
 select round(sum(pos * below) / (sum(pos) * sum(neg)), 6) as auc, (select round(avg(case when y = (case when s > 0 then 1 else 0 end) then 1.0 else 0.0 end), 6) from r) as accuracy,
 (select round(sqrt(avg((y - s) * (y - s))), 6) from r) as rmse from w""")
 def ranking_metrics(spark, sf):
-    rows = table(spark, sf, "embeddings").join(table(spark, sf, "documents").select("doc_id"), F.col("vec_id") == F.col("doc_id"))
-    data = rows.select(
+    data = table(spark, sf, "embeddings").select(
         F.when(F.col("label") < 5, 1).otherwise(0).alias("y"), F.round(F.col("embedding")[0].cast("double"), 2).alias("s")
     ).withColumn("p", F.when(F.col("s") > 0, 1).otherwise(0))
     out = A.auc(data, "y", "s").select(F.round("auc", 6).alias("auc"))

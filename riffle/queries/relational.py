@@ -136,15 +136,15 @@ def missing_assets(spark, sf):
     return J.missing_assets(refs, have, "path")
 
 
-@query("""with t as (select l_partkey, count(*) n from lineitem where l_linestatus = 'F' and l_quantity >= 48 group by 1),
-s as (select l_partkey, count(*) n from lineitem where l_linestatus = 'O' and l_quantity >= 45 group by 1)
-select p_partkey, coalesce(t.n, s.n, 0) as played from part left join t on p_partkey = t.l_partkey
-left join s on p_partkey = s.l_partkey""")
+@query("""with t as (select l_orderkey, count(*) n from lineitem where l_linestatus = 'F' group by 1),
+s as (select l_orderkey, count(*) n from lineitem where l_linestatus = 'O' group by 1)
+select o_orderkey, coalesce(t.n, s.n, 0) as played from orders left join t on o_orderkey = t.l_orderkey
+left join s on o_orderkey = s.l_orderkey""")
 def popularity_fallback(spark, sf):
-    lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_linestatus", "l_quantity")
-    train = lines.filter("l_linestatus = 'F' and l_quantity >= 48")
-    test = lines.filter("l_linestatus = 'O' and l_quantity >= 45")
-    return J.popularity(table(spark, sf, "part").select("p_partkey"), train, test, "p_partkey", "played")
+    """Finished lines of every order; orders without any count their open ones."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linestatus")
+    train, test = lines.filter("l_linestatus = 'F'"), lines.filter("l_linestatus = 'O'")
+    return J.popularity(table(spark, sf, "orders").select("o_orderkey"), train, test, "o_orderkey", "played")
 
 
 @query("""with words as (select distinct w from (

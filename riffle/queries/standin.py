@@ -48,8 +48,8 @@ CODE_COLS = {
     "song_id": "p_partkey",
     "name": "p_name",
     "isrc": (
-        "concat(chr(cast(65 + p_partkey % 26 as int)), chr(cast(65 + p_size % 26 as int)), 'ABC', "
-        "lpad(cast(p_partkey % 100 as varchar(2)), 2, '0'), lpad(cast(p_partkey as varchar(12)), 12, '0'))"
+        "case when p_type <> 'SMALL' then concat(chr(cast(65 + p_partkey % 26 as int)), chr(cast(65 + p_size % 26 as int)), 'ABC', "
+        "lpad(cast(p_partkey % 100 as varchar(2)), 2, '0'), lpad(cast(p_partkey as varchar(12)), 12, '0')) end"
     ),
 }
 
@@ -90,7 +90,7 @@ def songs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def codes(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").filter("p_type <> 'SMALL'").selectExpr(*_select(CODE_COLS))
+    return table(spark, sf, "part").selectExpr(*_select(CODE_COLS))
 
 
 SQL = f"""
@@ -103,7 +103,7 @@ members as (
   left join (select o_custkey, min(o_orderdate) as lo, max(o_orderdate) as hi from orders group by o_custkey) s
     on s.o_custkey = c_custkey),
 songs as (select {', '.join(_select(SONG_COLS))} from part),
-codes as (select {', '.join(_select(CODE_COLS))} from part where p_type <> 'SMALL'),
+codes as (select {', '.join(_select(CODE_COLS))} from part),
 member_cols as (
   select msno, city, bd, gender, registered_via,
          cast(date_diff('day', registration_init_time, expiration_date) as int) as membership_days,

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riffle.operators import aggregates as A
+from riffle.operators.sampling import permuted_place
 from riffle.plans import affinity as AF
 from riffle.plans import boost as B
 from riffle.plans import embed as E
@@ -13,6 +14,7 @@ from riffle.plans import factors as M
 from riffle.plans import linear as L
 from riffle.plans import recommend as R
 from riffle.plans import routes as T
+from riffle.plans import rowwise as W
 from riffle.plans.ratings import build_ratings
 from riffle.plans.sweeps import sweep
 
@@ -309,6 +311,71 @@ def test_row_updates_separate_two_classes(spark, kind):
     assert np.allclose(model.weights, again.weights)
 
 
+def loop_over_rows(x, y, w, eta, kind="adaline"):
+    """The plain loop: one update after the other; a row of weights per class."""
+    w, cost = w.copy(), 0.0
+    for xr, yr in zip(x, y, strict=True):
+        net = w @ xr
+        e = yr - (net if kind == "adaline" else np.where(net >= 0, 1.0, -1.0))
+        cost += 0.5 * e @ e if kind == "adaline" else (e != 0).sum()
+        w += eta * e[:, None] * xr[None, :]
+    return w, cost
+
+
+@pytest.mark.parametrize("kind", ["adaline", "perceptron"])
+@pytest.mark.parametrize("epochs", [20, 40])
+def test_block_updates_equal_the_loop(kind, epochs):
+    rng = np.random.default_rng(5)
+    x = np.column_stack([np.ones(700), rng.normal(size=(700, 4))])
+    y = np.where(rng.normal(size=(700, 3)) + x[:, 1:4] > 0, 1.0, -1.0)
+    mine, want = np.zeros((3, 5)), np.zeros((3, 5))
+    for _ in range(epochs):
+        cost = W.update_rows(mine, x, y, kind, 0.01)
+        want, wanted = loop_over_rows(x, y, want, 0.01, kind)
+        assert cost == pytest.approx(wanted)
+    assert np.allclose(mine, want, atol=1e-9)
+
+
+@pytest.mark.parametrize("shuffle", [False, True])
+def test_ordered_fit_equals_the_loop_over_all_rows(spark, shuffle):
+    rng = np.random.default_rng(8)
+    # many rows share a place in the order, and whole rows repeat
+    rows = [(int(rng.integers(0, 40)), *[float(v) for v in np.round(rng.normal(size=2), 1)], int(rng.choice([-1, 1]))) for _ in range(900)]
+    rows += rows[:150]
+    df = spark.createDataFrame(rows + [(1, None, 0.5, 1), (2, 0.5, 0.5, None)], "k long, a double, b double, y int").repartition(7)
+    model = L.fit_linear(df, ["a", "b"], "y", mode="ordered", order=["k"], eta=0.01, epochs=20, shuffle=shuffle, seed=3)
+    ordered = np.array(sorted(rows), dtype=float)
+    w, costs = np.zeros((1, 3)), []
+    for e in range(20):
+        turn = np.arange(len(ordered))
+        if shuffle:
+            places = spark.range(len(ordered)).select("id", permuted_place(F.col("id"), len(ordered), 3 + e).alias("p")).collect()
+            turn = np.array([r["id"] for r in sorted(places, key=lambda r: r["p"])])
+        z = ordered[turn]
+        w, cost = loop_over_rows(np.column_stack([np.ones(len(z)), z[:, 1:3]]), z[:, 3:], w, 0.01)
+        costs.append(cost / len(z))
+    assert np.allclose(model.weights, w[0], atol=1e-9) and np.allclose(model.history, costs)
+
+
+def test_ordered_fit_over_many_ranges_and_none(spark):
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")  # three levels of maps
+    try:
+        df = spark.range(3000).select("id", (F.col("id") % 17 / 17).alias("a"), F.when(F.col("id") % 5 < 2, 1).otherwise(-1).alias("y"))
+        model = L.fit_linear(df, ["a"], "y", mode="ordered", order=["id"], eta=0.05, epochs=3)
+        empty = L.fit_linear(df.limit(0), ["a"], "y", mode="ordered", order=["id"], start=np.array([1.0, 2.0]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    x = np.column_stack([np.ones(3000), np.arange(3000) % 17 / 17])
+    y, w = np.where(np.arange(3000) % 5 < 2, 1.0, -1.0)[:, None], np.zeros((1, 2))
+    for _ in range(3):
+        w, _ = loop_over_rows(x, y, w, 0.05)
+    assert np.allclose(model.weights, w[0], atol=1e-9)
+    assert list(empty.weights) == [1.0, 2.0] and empty.history == []
+    with pytest.raises(ValueError):
+        L.fit_linear(df, ["a"], "y", kind="perceptron", mode="ordered", order=["id"])
+
+
 def test_one_vs_rest(spark):
     rnd = random.Random(7)
     centres = {"p": (0, 4), "q": (4, -3), "r": (-4, -3)}
