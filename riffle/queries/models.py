@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riffle.operators import aggregates as A
 from riffle.plans import affinity as AF
 from riffle.plans import boost as B
+from riffle.plans import factor_blocks as FB
 from riffle.plans import factors as M
 from riffle.plans import linear as L
 from riffle.plans.ratings import build_ratings
@@ -263,6 +264,47 @@ def factor_sweep(spark, sf):
     return _rounded(sweep(train, test, GRID, start=arithmetic_start))
 
 
+_WALK = _walk_sql("w", 16, 10, 0.002)[0]
+
+
+@query(f"""with {PAIR_COUNTS},
+tr as (select u, i, rating as r, 0.0 as su from kept),
+{', '.join(_WALK[:-1])}, {_WALK[-1]}
+select 'u' as kind, u as id, {', '.join(f'round(p{n}, 6) as f{n - 1}' for n in range(1, 17))} from wp10
+union all select 'i', i, {', '.join(f'round(q{n}, 6)' for n in range(1, 17))} from wq10""")
+def factor_cells(spark, sf):
+    """Sixteen factors after ten epochs over ratings that stay in their cells."""
+    ratings = build_ratings([log_rows(spark, sf)], "user", "item", encode=False)
+    model = FB.factorize_blocks(ratings, k=16, steps=10, start=arithmetic_start)
+    return model.table.select("kind", F.col("id").cast("long").alias("id"), *[F.round(f"f{j}", 6).alias(f"f{j}") for j in range(16)])
+
+
+_CELL_FORMS = [f for f in M.FORMS if f != "plain"]
+
+
+@query(f"""with {PAIR_COUNTS},
+sk as (select u, (count(*) + 1.0) / (avg(num) + 1) as x from pairs group by u),
+su as (select u, (x - (select min(x) from sk) + 1) / ((select max(x) from sk) - (select min(x) from sk) + 1) as su from sk),
+tr as (select u, i, rating as r, su from kept join su using (u)),
+{', '.join(', '.join(_walk_sql(f"c{n}", 5, 5, 0.002, form=f, clip=1.0)[0]) for n, f in enumerate(_CELL_FORMS))}
+{' union all '.join(f"select '{f}' as form, 'u' as kind, u as id, {', '.join(f'round(p{j}, 6) as f{j - 1}' for j in range(1, 6))}, 0.0 as bias from c{n}p5 "
+  f"union all select '{f}', 'i', i, {', '.join(f'round(q{j}, 6)' for j in range(1, 6))}, round(si, 6) from c{n}q5" for n, f in enumerate(_CELL_FORMS))}""")
+def factor_cells_forms(spark, sf):
+    """Five factors and the item bias of every skill-aware form after five epochs in cells."""
+    ratings = materialize(build_ratings([log_rows(spark, sf)], "user", "item", encode=False))
+    skill = materialize(A.user_skill(A.interaction_counts(log_rows(spark, sf), "user", "item"), "user", "num", "smoothed"))
+    parts = []
+    for form in _CELL_FORMS:
+        model = FB.factorize_blocks(ratings, k=5, steps=5, form=form, skill=skill, start=arithmetic_start, clip=1.0)
+        parts.append(
+            model.table.select(
+                F.lit(form).alias("form"), "kind", F.col("id").cast("long").alias("id"),
+                *[F.round(c, 6).alias(c) for c in ("f0", "f1", "f2", "f3", "f4", "bias")],
+            )
+        )
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def part_ratings(spark, sf):
     """Ratings of customers for all parts, from how often they bought them."""
     return build_ratings([log_rows(spark, sf)], "user", "item", encode=False).select("user", "item", "rating")

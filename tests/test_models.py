@@ -10,6 +10,7 @@ from riffle.operators.sampling import permuted_place
 from riffle.plans import affinity as AF
 from riffle.plans import boost as B
 from riffle.plans import embed as E
+from riffle.plans import factor_blocks as FB
 from riffle.plans import factors as M
 from riffle.plans import linear as L
 from riffle.plans import recommend as R
@@ -311,6 +312,39 @@ def test_row_updates_separate_two_classes(spark, kind):
     assert np.allclose(model.weights, again.weights)
 
 
+def as_dict(model):
+    return {(r["kind"], r["id"]): [r[f"f{j}"] for j in range(model.k)] + [r["bias"]] for r in model.table.collect()}
+
+
+@pytest.mark.parametrize("form, more", [*[(f, {}) for f in M.FORMS], ("sum", {"per_rating": True, "clip": 0.01})])
+def test_cells_give_the_factors_of_the_rows(spark, form, more):
+    ratings = long_ratings(spark)
+    skill = spark.createDataFrame([(u, 0.5 + u / 20) for u in range(10)], "user int, su double")  # one user without skill
+    more = {**more, "skill": None if form == "plain" else skill}
+    rows = M.factorize(ratings, k=3, steps=2, form=form, alpha=0.01, **more)
+    cells = FB.factorize_blocks(ratings, k=3, steps=2, form=form, alpha=0.01, cell_rows=5, **more)  # cells in pieces
+    assert np.allclose(rows.losses, cells.losses)
+    mine, want = as_dict(cells), as_dict(rows)
+    assert mine.keys() == want.keys() and all(np.allclose(mine[key], want[key]) for key in want)
+
+
+def test_cells_hold_a_hot_user_repeats_and_nothing(spark):
+    rows = [(0, i, 1.0 + i % 5) for i in range(300)] + [(u, u % 7, 2.0) for u in range(1, 60)] + [(3, 3, 2.0)] * 40 + [(None, 1, 3.0), (1, None, 3.0), (2, 2, None)]
+    df = spark.createDataFrame(rows, "user int, item int, rating double")
+    factors = M.initial_factors(M.training_rows(df, "plain", None, "user", "item", "rating", "positive"), 2, M.uniform_start(1))
+    numbered = FB.global_index(factors, ["kind", "id"], "o")
+    cells = FB.deal_cells(M.training_rows(df, "plain", None, "user", "item", "rating", "positive"), numbered, 20)
+    sizes = cells.groupBy("cell").count().collect()
+    assert sum(r["count"] for r in sizes) == 399 and max(r["count"] for r in sizes) <= 40
+    clean = df.dropna()
+    a, b = M.factorize(clean, k=2, steps=2), FB.factorize_blocks(clean, k=2, steps=2, cell_rows=20)
+    assert np.allclose(a.losses, b.losses)
+    none = FB.factorize_blocks(df.limit(0), k=2, steps=3)
+    assert none.table.count() == 0 and none.losses == [0.0]
+    with pytest.raises(ValueError):
+        FB.factorize_blocks(clean, k=2, form="other")
+
+
 def loop_over_rows(x, y, w, eta, kind="adaline"):
     """The plain loop: one update after the other; a row of weights per class."""
     w, cost = w.copy(), 0.0
