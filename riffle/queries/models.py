@@ -28,8 +28,8 @@ DAMPING = 10.0
 
 
 def affinity_facts(spark, sf):
-    """Wide rows with the two-way length bucket."""
-    return A.mean_bucket(S.wide_rows(spark, sf), "song_length", "length_bucket")
+    """Wide rows with the two-way length bucket; written once, since the mean, the fit and the scores all read them."""
+    return A.mean_bucket(materialize(S.wide_rows(spark, sf)), "song_length", "length_bucket")
 
 
 def _right(c: str, sep: str | None) -> str:

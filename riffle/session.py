@@ -47,6 +47,20 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal the rows of a table that is smaller than one scan task a core evenly to all cores.
+
+    A file is read by as many tasks as it has row groups, so a small table may keep one
+    core busy with all that follows.  Larger tables are left as they lie, without a shuffle.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= cores * spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes():
+        return df
+    return df.repartition(cores)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

@@ -43,3 +43,17 @@ def test_written_tables_can_be_deleted(spark):
     assert table.count() == 10 and os.path.isdir(path)
     session.discard(table, spark.range(3))
     assert not os.path.exists(path)
+
+
+def test_small_tables_are_dealt_to_all_cores_and_large_ones_left(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    small = spark.read.parquet(str(tmp_path / "t"))
+    dealt = session.spread_small(small)
+    counts = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(counts) == spark.sparkContext.defaultParallelism and sum(counts) == 1000 and max(counts) < 300
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
+    try:
+        assert session.spread_small(small) is small
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
