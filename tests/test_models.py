@@ -259,6 +259,59 @@ def test_estimates_for_given_pairs(spark):
     assert all(abs(got[(u, i)] - e) < 1e-6 for u, s in want.items() for i, e in s)
 
 
+def _affinity_case(spark):
+    pairs = {"genre": ("user", "genre", r"\|"), "tab": ("user", "tab", None), "city": ("city", "song", None)}
+    rows = [
+        (n % 7, n % 9, n % 3, ["x|y", "y", "", None, "z|x|x"][n % 5], ["a", "b", None][n % 3] if n % 4 else None, n % 5 if n % 6 else None, int(n % 4 == 1))
+        for n in range(120)
+    ]
+    rows += [(None, 1, 1, "x", "a", 2, 1)] * 3 + [(1, 1, 1, "x|q", "a", 2, 0)] * 40
+    return spark.createDataFrame(rows, "id int, user int, city int, genre string, tab string, song int, target int"), pairs
+
+
+def test_affinity_pairs_are_made_distinct_where_they_are_stacked(spark):
+    facts, pairs = _affinity_case(spark)
+    want = set()
+    for r in facts.collect():
+        for name, (a, b, sep) in pairs.items():
+            for right in ([] if r[b] is None else r[b].split("|") if sep else [str(r[b])]):
+                if r[a] is not None:
+                    want.add((name, str(r[a]), right, r["target"]))
+    for rows_per_task in (5, 100_000):  # with hot keys and without
+        got = AF.affinity_pairs(facts, pairs=pairs, rows_per_task=rows_per_task)
+        found = [tuple(r) for r in got.select("pair", "left", "right", "target").collect()]
+        assert len(found) == len(want) and set(found) == want
+    plan = AF.affinity_pairs(facts, pairs=pairs)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Exchange" not in plan[: plan.index("Generate")]
+
+
+def test_affinity_features_do_not_stack_the_facts(spark):
+    facts, pairs = _affinity_case(spark)
+    model = AF.fit_affinity(facts.limit(60), pairs=pairs, k=2, epochs=2)
+    sides = {}
+    for kind, side in (("u", "left"), ("i", "right")):
+        factors = {r["id"]: (r["f0"], r["f1"]) for r in model.factors.table.filter(F.col("kind") == kind).collect()}
+        rows = getattr(model, side).collect()
+        sides[side] = {(r["pair"], r[side]): (r[f"b_{side}"], factors[r["pair"] + "\u001f" + r[side]]) for r in rows}
+    means = {r["pair"]: r["mu"] for r in model.means.collect()}
+    for tags, fold in (("max", max), ("avg", lambda x: sum(x) / len(x))):
+        found = {}
+        for r in facts.collect():
+            for name, (a, b, sep) in pairs.items():
+                own = found.setdefault(r["id"], {n: [] for n in pairs})[name]
+                for right in ([] if r[b] is None or r[a] is None else r[b].split("|") if sep else [str(r[b])]):
+                    (x, p), (y, q) = sides["left"].get((name, str(r[a])), (0, (0, 0))), sides["right"].get((name, right), (0, (0, 0)))
+                    own.append(min(1, max(0, means[name] + x + y + p[0] * q[0] + p[1] * q[1])))
+        out = AF.affinity_features(facts, model, ["id"], pairs, tags=tags)
+        assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+        got = {r["id"]: r for r in out.collect()}
+        assert set(got) == set(found)
+        for key, values in found.items():
+            for name in pairs:
+                want = fold(values[name]) if values[name] else means[name]
+                assert got[key][f"aff_{name}"] == pytest.approx(want, abs=1e-9)
+
+
 def test_affinity_range_unknown_ids_and_empty_rows(spark):
     rnd = random.Random(5)
     pairs = {"lang": ("msno", "lang", None), "genre": ("msno", "genre", r"\|")}
