@@ -398,6 +398,26 @@ def test_cells_hold_a_hot_user_repeats_and_nothing(spark):
         FB.factorize_blocks(clean, k=2, form="other")
 
 
+def test_the_rarer_side_lies_in_one_cell(spark):
+    df = spark.createDataFrame([(u, i, 1.0) for u in range(400) for i in range(3)], "user int, item int, rating double")
+    rows = M.training_rows(df, "plain", None, "user", "item", "rating", "positive")
+    factors = FB.global_index(M.initial_factors(rows, 2, M.uniform_start(1)), ["kind", "id"], "o")
+    cells = FB.deal_cells(rows, factors, 100).select("uo", "io", "cell").collect()
+    assert len(cells) == 1200 and len({(r["uo"], r["cell"]) for r in cells}) == 400 and len({r["cell"] for r in cells}) >= 9
+    df = df.select(F.col("item").alias("user"), F.col("user").alias("item"), "rating")
+    a, b = M.factorize(df, k=2, steps=2), FB.factorize_blocks(df, k=2, steps=2, cell_rows=100)
+    mine, want = as_dict(b), as_dict(a)
+    assert mine.keys() == want.keys() and all(np.allclose(mine[key], want[key]) for key in want)
+
+
+def test_affinities_are_fitted_in_cells(spark, monkeypatch):
+    facts, pairs = _affinity_case(spark)
+    mine = as_dict(AF.fit_affinity(facts, pairs=pairs, k=2, epochs=2).factors)
+    monkeypatch.setattr(AF, "factorize_blocks", M.factorize)
+    want = as_dict(AF.fit_affinity(facts, pairs=pairs, k=2, epochs=2).factors)
+    assert mine.keys() == want.keys() and all(np.allclose(mine[key], want[key]) for key in want)
+
+
 def loop_over_rows(x, y, w, eta, kind="adaline"):
     """The plain loop: one update after the other; a row of weights per class."""
     w, cost = w.copy(), 0.0
