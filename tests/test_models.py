@@ -219,6 +219,29 @@ def test_search_skips_blocks_and_equals_all_pairs(spark):
     assert sum(sizes) == 400 and asked < 0.5 * 60 * len(sizes)
 
 
+def test_a_user_moves_once_per_group_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(R, "GROUP_BLOCKS", 8)
+    v, factors, rows, ratings = clustered(spark)
+    unit = R._similarity_vectors(factors, "cosine")
+    centres = R._centres(R.materialize(R.item_blocks(unit, 6, 4)), 6)
+    home = R._best_blocks(R.user_profiles(ratings, unit, 6), centres)
+    asked = R._open_blocks(home.withColumn("_t", F.lit(None).cast("double")), centres).collect()  # without a threshold all are open
+    assert len(asked) <= 60 * (int(centres[0].max()) // 8 + 1)
+    assert sum(bin(x).count("1") for r in asked for x in r["_open"]) == 60 * (len(centres[0]) - 1)
+    for n in (2, 9):
+        got = R.recommend(ratings, n, factors=factors, items_per_block=4, users_per_chunk=25)
+        found = sorted(map(tuple, got.select("user", "item", "estimate", "rank").collect()), key=lambda r: (r[0], r[3]))
+        assert [r[:2] + r[3:] for r in found] == [r[:2] + r[3:] for r in all_pairs(v, rows, n)]
+
+
+def test_planes_put_like_items_together(spark):
+    rows = [(i, [float(x) for x in np.eye(3)[i % 3] + i % 7]) for i in range(2100)]
+    vectors = spark.createDataFrame(rows, "item int, v array<double>")
+    blocks = R.materialize(R.item_blocks(vectors, 3, 20))
+    _, _, radius = R._centres(blocks, 3)
+    assert blocks.count() == 2100 and radius.max() < 1e-6 and len(radius) < 300  # 21 vectors, each in blocks of its own
+
+
 def test_unknown_pairs_stay_and_any_similarity_can_be_used(spark):
     v, factors, rows, ratings = clustered(spark, 5, 30)
     asked = [(0, 1), (0, 999), (77, 1), (1, 2), (1, 2), (None, 3)]
@@ -402,8 +425,8 @@ def test_the_rarer_side_lies_in_one_cell(spark):
     df = spark.createDataFrame([(u, i, 1.0) for u in range(400) for i in range(3)], "user int, item int, rating double")
     rows = M.training_rows(df, "plain", None, "user", "item", "rating", "positive")
     factors = FB.global_index(M.initial_factors(rows, 2, M.uniform_start(1)), ["kind", "id"], "o")
-    cells = FB.deal_cells(rows, factors, 100).select("uo", "io", "cell").collect()
-    assert len(cells) == 1200 and len({(r["uo"], r["cell"]) for r in cells}) == 400 and len({r["cell"] for r in cells}) >= 9
+    cells = FB.deal_cells(rows, factors, 400).select("uo", "io", "cell").collect()
+    assert len(cells) == 1200 and len({(r["uo"], r["cell"]) for r in cells}) == 400 and len({r["cell"] for r in cells}) >= 5
     df = df.select(F.col("item").alias("user"), F.col("user").alias("item"), "rating")
     a, b = M.factorize(df, k=2, steps=2), FB.factorize_blocks(df, k=2, steps=2, cell_rows=100)
     mine, want = as_dict(b), as_dict(a)
