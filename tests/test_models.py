@@ -596,3 +596,31 @@ def test_embeddings(spark):
     assert {r["id"]: list(r["vector"]) for r in own.collect()} == {1: [5.0, 1.0], 2: [0.0, 1.0], 3: [1.0, 1.0]}
     both = E.combine_vectors(own.withColumn("w", F.array(F.lit(9.0).cast("float"))), ["vector", "w"])
     assert both.filter("id = 1").first()["combined"] == [5.0, 1.0, 9.0]
+
+
+def test_trees_read_few_rows_a_task(spark, monkeypatch):
+    """Cached training rows grow with the table, so their tasks must grow in number; the setting comes back."""
+    seen, fit, name = [], B.Pipeline.fit, "spark.sql.files.maxPartitionBytes"
+
+    def spy(self, df):
+        seen.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        return fit(self, df)
+
+    monkeypatch.setattr(B, "ROWS_PER_TASK", 40)
+    monkeypatch.setattr(B.Pipeline, "fit", spy)
+    before = spark.conf.get(name)
+    df = spark.range(0, 600, 1, 2).selectExpr("id % 7 as x", "cast(id % 7 > 3 as int) as y")
+    model = B.fit_gbt(df, "y", ["x"], rounds=1, depth=2)
+    assert sum(seen) == 600 and max(seen) <= 40
+    assert spark.conf.get(name) == before
+    assert B.score(model, df).where("(score > 0.5) = (y = 1)").count() == 600
+
+
+def test_target_codes_move_marks_of_sixteen_bytes(spark, monkeypatch):
+    written, write = [], B.materialize
+    monkeypatch.setattr(B, "materialize", lambda df, *a: written.append(dict(df.dtypes)) or write(df, *a))
+    df = spark.range(20).selectExpr("id", "id % 3 as a", "id % 2 as b", "cast(id % 5 = 0 as int) as y")
+    out, _ = B.ordered_target_codes(df, ["a", "b"], "y", ["id"])
+    assert out.columns == ["id", "a", "b", "y", "a_code", "b_code"]
+    assert {t["_mark"] for t in written if "_mark" in t} == {"binary"}
+    assert all("_mark" not in t for t in written if "b_code" in t)
