@@ -6,7 +6,7 @@ import string
 from collections.abc import Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +18,8 @@ SHORT_ANSWER = "简答题"
 CASE_MARK = "案例题"
 ANSWER_MARK = "正确答案"
 
+#: Pages that are Python strings at once.
+_SLICE = 64
 _NO_PUNCTUATION = str.maketrans("", "", string.punctuation)
 
 
@@ -53,19 +55,30 @@ def _text_nodes(page: str | None, skip_code: bool) -> list[str] | None:
     return parser.nodes
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _texts(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda p: _text_nodes(p, True))
+def _nodes_of(pages: pa.Array, skip_code: bool) -> pa.Array:
+    """Text nodes of a batch, some pages at a time, so that Python never holds the strings of a whole batch."""
+    kind = pa.list_(pa.string())
+    parts = (pages.slice(at, _SLICE).to_pylist() for at in range(0, len(pages), _SLICE))
+    done = [pa.array([_text_nodes(p, skip_code) for p in part], kind) for part in parts]
+    return pa.concat_arrays(done or [pa.array([], kind)])
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _texts_with_code(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda p: _text_nodes(p, False))
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _texts(pages: pa.Array) -> pa.Array:
+    return _nodes_of(pages, True)
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _texts_with_code(pages: pa.Array) -> pa.Array:
+    return _nodes_of(pages, False)
 
 
 def html_texts(c: Column, skip_code: bool = True) -> Column:
-    """Text nodes without ASCII punctuation; empty nodes and nodes with a line break go."""
-    return _texts(c) if skip_code else _texts_with_code(c)
+    """Text nodes without ASCII punctuation; empty nodes and nodes with a line break go.
+
+    Marked as not deterministic, though it is, so that a filter on the nodes does not parse every page a second time.
+    """
+    return (_texts if skip_code else _texts_with_code).asNondeterministic()(c)
 
 
 def html_image_sources(c: Column) -> Column:

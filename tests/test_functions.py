@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,3 +138,29 @@ def test_similarities(spark):
     short = spark.createDataFrame([([1.0, 2.0], [2.0, 1.0])], "a array<double>, b array<double>")
     assert short.select(V.sim_pearson(F.col("a"), F.col("b"))).first()[0] == 1.0
     assert not math.isnan(got[1])
+
+
+def test_pages_of_a_batch_become_strings_in_slices():
+    pages = pa.array([None if i % 7 == 0 else f"<p>page {i}</p><script>v{i}</script>" for i in range(300)])
+
+    class Batch:
+        taken = []
+
+        def __len__(self):
+            return len(pages)
+
+        def slice(self, at, n):
+            self.taken.append(n)
+            return pages.slice(at, n)
+
+    want = [X._text_nodes(p, True) for p in pages.to_pylist()]
+    assert X._nodes_of(Batch(), True).to_pylist() == want
+    assert max(Batch.taken) < 100
+    assert X._nodes_of(pages.slice(0, 0), True).to_pylist() == []
+
+
+def test_a_filter_on_text_nodes_parses_pages_once(spark):
+    pages = spark.createDataFrame([(1, "<p>a</p>"), (2, "<i></i>")], "id int, html string")
+    nodes = pages.withColumn("t", F.array_join(X.html_texts(F.col("html")), "")).filter("t <> ''")
+    assert nodes.collect() == [(1, "<p>a</p>", "a")]
+    assert nodes._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
