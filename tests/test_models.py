@@ -1,3 +1,4 @@
+import math
 import hashlib
 import random
 
@@ -17,6 +18,7 @@ from riffle.plans import recommend as R
 from riffle.plans import routes as T
 from riffle.plans import rowwise as W
 from riffle.plans.ratings import build_ratings
+from riffle.plans import sweeps as SW
 from riffle.plans.sweeps import sweep
 
 RATINGS = np.array([[(u * 7 + i * 5 + u * i) % 6 if (u + 2 * i) % 3 else 0 for i in range(11)] for u in range(11)], dtype=float)
@@ -624,3 +626,15 @@ def test_target_codes_move_marks_of_sixteen_bytes(spark, monkeypatch):
     assert out.columns == ["id", "a", "b", "y", "a_code", "b_code"]
     assert {t["_mark"] for t in written if "_mark" in t} == {"binary"}
     assert all("_mark" not in t for t in written if "b_code" in t)
+
+
+def test_sweep_holds_one_row_an_id(spark):
+    """All trajectories of an id lie in one row, each as wide as its own factors; cells stay few."""
+    rows = M.training_rows(long_ratings(spark), "plain", None, "user", "item", "rating", "positive")
+    paths = [SW._Path(SW.Cell(k, form=form), {1}) for k, form in ((2, "plain"), (5, "plain"), (3, "sum"))]
+    table = SW._start_table(rows, paths, start).cache()
+    assert table.count() == rows.select("u").distinct().count() + rows.select("i").distinct().count()
+    assert len(table.columns) == 3 + 2 + 5 + 3 + 1
+    least = int(spark.conf.get("spark.sql.shuffle.partitions")) // 2
+    with FB.open_cells(rows, table, SW.ROWS_PER_SPLIT, least) as (held, _):
+        assert held.select("cell").distinct().count() <= math.ceil(math.sqrt(max(least, 1))) ** 2
