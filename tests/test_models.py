@@ -406,6 +406,21 @@ def test_cells_give_the_factors_of_the_rows(spark, form, more):
     assert mine.keys() == want.keys() and all(np.allclose(mine[key], want[key]) for key in want)
 
 
+def test_fits_share_their_cells(spark, monkeypatch):
+    ratings = long_ratings(spark)
+    skill = spark.createDataFrame([(u, 0.5 + u / 20) for u in range(10)], "user int, su double")
+    deals, deal = [], FB.deal_cells
+    monkeypatch.setattr(FB, "deal_cells", lambda *a: deals.append(a) or deal(*a))
+    with FB.dealt_ratings(ratings, skill) as dealt:
+        fits = {f: FB.factorize_blocks(ratings, k=2, steps=1, form=f, alpha=0.01, skill=skill, dealt=dealt) for f in ("sum", "product")}
+    assert len(deals) == 1
+    for form, fit in fits.items():
+        mine, want = as_dict(fit), as_dict(M.factorize(ratings, k=2, steps=1, form=form, alpha=0.01, skill=skill))
+        assert mine.keys() == want.keys() and all(np.allclose(mine[key], want[key]) for key in want)
+    with FB.dealt_ratings(ratings) as dealt, pytest.raises(ValueError):
+        FB.factorize_blocks(ratings, k=2, form="sum", dealt=dealt)
+
+
 def test_cells_hold_a_hot_user_repeats_and_nothing(spark):
     rows = [(0, i, 1.0 + i % 5) for i in range(300)] + [(u, u % 7, 2.0) for u in range(1, 60)] + [(3, 3, 2.0)] * 40 + [(None, 1, 3.0), (1, None, 3.0), (2, 2, None)]
     df = spark.createDataFrame(rows, "user int, item int, rating double")

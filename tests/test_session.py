@@ -1,6 +1,7 @@
 """Where intermediate tables go, and that they can be deleted."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,3 +58,22 @@ def test_small_tables_are_dealt_to_all_cores_and_large_ones_left(spark, tmp_path
         assert session.spread_small(small) is small
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(n).getName() for n in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    before = _shuffle_files(spark)
+    table = session.materialize(spark.range(1000).repartition(4, "id"))
+    for _ in range(20):
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert table.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
