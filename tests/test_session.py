@@ -77,3 +77,18 @@ def test_shuffle_files_go_when_a_table_is_written(spark):
     assert not left
     assert table.count() == 1000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def test_many_rows_in_a_small_file_are_not_broadcast(spark):
+    table = session.materialize(spark.range(200_000).select(F.lit("the same text in every row").alias("k"), (F.col("id") % 3).alias("v")))
+    asked = session.materialize(spark.range(3).withColumnRenamed("id", "v"))
+
+    def plan(rows):
+        return asked.join(session.unless_large(table, rows), "v", "left")._jdf.queryExecution().executedPlan().toString()
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        assert "BroadcastHashJoin" in plan(3) and "BroadcastHashJoin" not in plan(table.count())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
