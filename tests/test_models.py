@@ -104,6 +104,21 @@ def test_sweep_equals_single_fits(spark):
         sweep(train, test, [{"k": 2, "form": "sum"}])
 
 
+def test_sweep_moves_wide_grids_in_groups(spark, monkeypatch):
+    """What a cell gets at once is bounded, however many trajectories and ids there are; the figures stay."""
+    r = long_ratings(spark)
+    train, test = r.filter("(user + item) % 4 <> 0"), r.filter("(user + item) % 4 = 0")
+    grid = [{"k": k, "steps": 2, "alpha": 0.01, "per_rating": k == 3} for k in (2, 3, 4)]
+    want = sweep(train, test, grid, start=start).collect()
+    sent, step = [], SW._cell_step
+    monkeypatch.setattr(SW, "_cell_step", lambda cells, out: sent.append(sum(c.k for _, c in cells)) or step(cells, out))
+    monkeypatch.setattr(SW, "_groups", lambda paths, moving, ids, f=SW._groups: f(paths, moving, SW.SENT_BYTES // (8 * 5)))
+    got = sweep(train, test, grid, start=start).collect()
+    assert set(sent) == {5, 4}
+    for a, b in zip(got, want):
+        assert a[:2] == b[:2] and a[2:4] == pytest.approx(b[2:4]) and a.rmse == pytest.approx(b.rmse)
+
+
 def test_ratings_from_logs(spark):
     logs = [spark.createDataFrame(d, "csr string, ke string") for d in ([("b", "k1"), ("b", "k1")], [("a", "k2")], [("b", "k2")] * 3)]
     got = sorted(map(tuple, build_ratings(logs, "csr", "ke", limit=3).collect()))
