@@ -38,6 +38,8 @@ from riffle.llm.registry import query
 
 WORK = 128
 CHUNK_STRETCHES = 1_000_000
+#: Chunks in one file: Parquet holds a row group whole as it is written, and Spark reads thousands of rows at once.
+CHUNKS_PER_FILE = 4
 
 
 def splits(a_ends: np.ndarray, b_ends: np.ndarray, diagonals: np.ndarray) -> np.ndarray:
@@ -272,7 +274,8 @@ def chunks(docs: DataFrame, a_json: str, b_model: bytes, chunk_stretches: int =
         del chunk
         give_back()
 
-    return materialize(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _STATE))
+    coded = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _STATE)
+    return materialize(coded, CHUNKS_PER_FILE)
 
 
 def _asked(state: DataFrame) -> DataFrame:

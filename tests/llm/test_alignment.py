@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from riffle.llm import alignment as M
 
@@ -109,6 +110,13 @@ def test_table_with_nulls_repeats_and_clashes(spark):
     assert n == Counter((a[i], b[j]) for a, b, _, links in done for i, j in links)
 
 
+def test_a_file_holds_few_chunks(spark):
+    rows = [(i, f"some words {i}") for i in range(30)]
+    state = M.chunks(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), *FILES, chunk_stretches=1)
+    sizes = [r["count"] for r in state.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) >= 1 and max(sizes) <= M.CHUNKS_PER_FILE
+
+
 def test_query_equals_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
